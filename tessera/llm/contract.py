@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import huffman, packing, rules, sentencepiece, sharding
+from . import huffman, packing, pii, quality, rules, sentencepiece, sharding, simhash, topk, warc
 from .common import table
 
 
@@ -39,12 +39,41 @@ def op3_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), payloads=False)
+    return out.select("page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), F.col("refers_to_page").alias("refers_to"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+    listed = lambda found: F.array_join(F.transform(found, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    base = F.filter("found", lambda s: s.base)
+    counts = [F.size(F.filter(base.kind, lambda x: x == F.lit(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]  # noqa: B023
+    added = F.size(F.filter("found", lambda s: ~s.base)).cast("long").alias("n_added")
+    return out.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"), added)
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=5, every=50, scale=256)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     out = sharding.deal(docs, 8)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    out = simhash.near_duplicates(docs, shingle=3, distance=3)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     out = rules.judge(docs)
@@ -53,5 +82,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_huffman, op8_sharding, op10_rules)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_huffman, op4_quality, op5_warc, op6_pii, op7_topk, op8_sharding, op9_simhash, op10_rules)}
 ORACLES: dict[str, str] = {}
