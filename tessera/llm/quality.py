@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, strings, written
+from .common import cut, map_texts, strings, written
 
 #: Bounds of the training sample: trusted positives, and unlabelled texts.
 MOST_POSITIVES, MOST_UNLABELLED = 20_000, 40_000
@@ -181,26 +181,33 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3) ->
     return float(np.clip(qu[safe][best] / qp[safe][best], 0.02, 0.98))
 
 
-def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """About `most` rows' measurements at most, by a hash of the id: the same ones each time."""
+def _sampled(rows: DataFrame, most: int) -> DataFrame:
+    """About `most` rows at most, by a hash of the id: the same ones each time."""
     n = rows.count()
-    if n > most:
-        rows = rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * most / n))
+    return rows if n <= most else rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * most / n))
+
+
+def _matrix(rows: DataFrame) -> np.ndarray:
     x = np.array([r.x for r in rows.select("doc_id", "x").orderBy("doc_id", "x").toLocalIterator()], np.float64)
     return x.reshape(-1, N_FEATURES)
 
 
-def fit(features: DataFrame, labels: DataFrame, most_positives: int = MOST_POSITIVES, most_unlabelled: int = MOST_UNLABELLED) -> Network | None:
-    """The model of written measurements and labels (doc_id, quality); None without positives."""
-    seen = features.where(~held_out(F.col("doc_id")))
-    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = 1 AND hi = 1").select("doc_id")
-    positive = _sample(seen.join(trusted, "doc_id", "left_semi"), most_positives)
-    unlabelled = _sample(seen, most_unlabelled)
+def _learn(positive: np.ndarray, unlabelled: np.ndarray) -> Network | None:
     if not len(positive) or not len(unlabelled):
         return None
     return train(positive, unlabelled, class_prior(positive, unlabelled))
 
 
+def fit(rows: DataFrame, labels: DataFrame, most_positives: int = MOST_POSITIVES, most_unlabelled: int = MOST_UNLABELLED) -> Network | None:
+    """The model of labels (doc_id, quality) and rows with doc_id and either x, measured already, or
+    text, of which then only the sampled rows are measured. None without a trusted positive.
+    """
+    seen = rows.where(~held_out(F.col("doc_id")))
+    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = 1 AND hi = 1").select("doc_id")
+    drawn = [_sampled(seen.join(trusted, "doc_id", "left_semi"), most_positives), _sampled(seen, most_unlabelled)]
+    return _learn(*(_matrix(r if "x" in rows.columns else measured(r)) for r in drawn))
+
+
 def score(features: DataFrame, net: Network | None) -> DataFrame:
     """(doc_id, held_out, score, predicted) of written measurements."""
 
@@ -218,3 +225,17 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Measures df, learns from labels (doc_id, quality) and scores every row."""
     features = written(measured(df, id_col, text_col))
     return score(features, fit(features, labels))
+
+
+def accepted(df: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of df (doc_id, text, any others) that the model predicts to be good, as they are."""
+    net = fit(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), labels)
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for b in cut(batch):
+                x = np.stack([measure(t) for t in strings(b.column(at))]).astype(np.float64)
+                yield b.filter(pa.array((net.score(x) if net else np.full(len(x), 0.5)) >= THRESHOLD))
+
+    return df.mapInArrow(run, df.schema)

@@ -94,3 +94,16 @@ def judge(df: DataFrame, text_col: str = "text", most_lost: float = MOST_LOST) -
     out = out.withColumn("base_failed", failed).withColumn("lost_words", F.col("n_words") - F.col("_kept"))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_words") <= F.col("n_words") * most_lost))
     return out.select(*own, *RESULTS)
+
+
+def clean(df: DataFrame, text_col: str = "text", most_lost: float = MOST_LOST) -> DataFrame:
+    """The rows that judge keeps, in the columns of df, with the text cleaned.
+
+    The verdict passes through a generator: a filter is not pushed below it, where every count
+    would be written out once for each use.
+    """
+    names = [f"_c{i}" for i in range(len(df.columns))]  # none is the name of a result
+    at = names[df.columns.index(text_col)]
+    judged = judge(df.toDF(*names), at, most_lost)
+    own = [F.col("cleaned" if c == at else c).cast(f.dataType).alias(f.name) for c, f in zip(names, df.schema.fields, strict=True)]
+    return judged.select(*own, F.explode(F.array("kept")).alias("_passes")).where("_passes").drop("_passes")
