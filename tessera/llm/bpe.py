@@ -1,20 +1,25 @@
 """Whole-text encoding by a tokenizers file, exactly as that library encodes, made quick.
 
-Byte-level files whose merges follow their ids are run as ranks by tiktoken. Files that drop white
-space are run word by word behind a dictionary of words already seen. Anything else, and any text
-that the quick way refuses, goes through the library itself. Strings of special tokens in a text are
-ordinary text.
+Byte-level files whose merges follow their ids are run as ranks by tiktoken. So are files that
+lower-case and mark the ends of words, for Latin-1 text: a capital, which such text no longer has,
+stands for the mark. Anything else, and any text that the quick way refuses, goes through the library
+itself. Strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
+from functools import lru_cache
 
 import numpy as np
 
-#: Words kept by a worker; the dictionary starts anew beyond it. It only saves time.
-KEPT_WORDS = 400_000
+#: Stands for the end of a word in lower-cased text.
+MARK = "A"
+#: Unicode white space of Latin-1: fixed values.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0"
 
 
 def _byte_letters() -> dict[str, int]:
@@ -24,6 +29,12 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(2)
+def codec(path: str) -> Bpe:
+    """One Bpe for all tasks of a worker."""
+    return Bpe(path)
+
+
 class Bpe:
     """encode(texts) gives an array of ids for each text."""
 
@@ -37,8 +48,7 @@ class Bpe:
             spec = json.load(f)
         self.size = self.library.get_vocab_size()
         self.ranks = self._ranks(spec)
-        self.by_word = self.ranks is None and self._drops_space(spec)
-        self.words: dict[bytes, bytes] = {}
+        self.marked = None if self.ranks is not None else self._marked(spec)
 
     @staticmethod
     def _ranks(spec: dict):
@@ -62,18 +72,32 @@ class Bpe:
         return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @staticmethod
-    def _drops_space(spec: dict) -> bool:
-        """Whether ASCII white space always ends a word and leaves no id behind."""
+    def _marked(spec: dict):
+        """(encoding, its ids as the file's, pattern) for files that mark ends of lower-cased words."""
+        model = spec["model"]
+        end = model.get("end_of_word_suffix")
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        first = steps[0]
-        norm = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
-        return (
-            first.get("type") == "Split"
-            and first.get("behavior") == "Removed"
-            and bool(first.get("invert"))
-            and all(s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex") for s in steps[1:])
-            and norm == ["NFC", "Replace", "Lowercase"]
-        )
+        first, norm = steps[0], [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        words = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and "Regex" in first.get("pattern", {})
+        plain = all(s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex") for s in steps[1:])
+        if not (end and words and plain and norm == ["NFC", "Replace", "Lowercase"]) or any(model.get(k) for k in ("continuing_subword_prefix", "ignore_merges", "byte_fallback", "dropout")):
+            return None
+        letters, vocab = _byte_letters(), model["vocab"]
+        raw = lambda piece: bytes(letters[c] for c in piece.removesuffix(end)) + (MARK.encode() if piece.endswith(end) else b"")
+        order = [*letters, *(c + end for c in letters), *("".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"])]
+        ranks = {raw(piece): i for i, piece in reversed([*enumerate(order)])}
+        if any(p not in vocab for p in order):
+            return None
+        # Two-letter pieces with the mark itself as a letter never occur: the text has no capital.
+        import tiktoken
+
+        encoding = tiktoken.Encoding("marked", pat_str=f"[^{MARK}]*{MARK}", mergeable_ranks={k: i for i, k in enumerate(sorted(ranks, key=ranks.get))}, special_tokens={})
+        ids = np.array([vocab[order[ranks[k]]] for k in sorted(ranks, key=ranks.get)], "<u4")
+        pattern = first["pattern"]["Regex"]
+        latin = [chr(c) for c in range(256)]
+        for name, own in ((r"\s", SPACES), (r"\p{L}", [c for c in latin if unicodedata.category(c)[0] == "L"]), (r"\p{N}", [c for c in latin if unicodedata.category(c)[0] == "N"])):
+            pattern = pattern.replace(name, "".join(map(re.escape, own)))
+        return encoding, ids, re.compile(pattern)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -81,7 +105,7 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.ranks is not None:
             return [self._ranked(t) for t in texts]
-        return self._worded(texts) if self.by_word else self._plain(texts)
+        return [self._ended(t) for t in texts] if self.marked else self._plain(texts)
 
     def _ranked(self, text: str) -> np.ndarray:
         try:
@@ -91,15 +115,18 @@ class Bpe:
                 raise
             return self._plain([text])[0]
 
-    def _worded(self, texts: list[str]) -> list[np.ndarray]:
-        """Lower-casing A-Z first leaves the ids as they are: the file lower-cases."""
-        split = [t.encode().lower().split() for t in texts]
-        words = self.words
-        missing = list({w for ws in split for w in ws if w not in words})
-        if missing:
-            if len(words) + len(missing) > KEPT_WORDS:
-                words.clear()
-                missing = list({w for ws in split for w in ws})
-            for w, e in zip(missing, self.library.encode_batch_fast([m.decode() for m in missing], add_special_tokens=False), strict=True):
-                words[w] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join([words[w] for w in ws]), "<u4") for ws in split]
+    def _ended(self, text: str) -> np.ndarray:
+        encoding, ids, pattern = self.marked
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._plain([text])[0]
+        words = pattern.findall(text.lower())
+        if not words:
+            return np.empty(0, "<u4")
+        try:
+            return ids[np.asarray(encoding.encode_to_numpy(MARK.join(words) + MARK, disallowed_special=()))]
+        except BaseException as e:
+            if isinstance(e, (KeyboardInterrupt, SystemExit)):
+                raise
+            return self._plain([text])[0]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .bpe import Bpe
+from .bpe import codec as bpe
 from .common import map_texts, shared_dir, strings, written
 
 MAGIC = b"THUF"
@@ -165,7 +165,7 @@ def tokenise(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc
     """(doc_id, n_tokens, crc, ids): little-endian ids of 2 bytes where the vocabulary allows, else 4."""
 
     def start():
-        codec = Bpe(tokenizer_path)
+        codec = bpe(tokenizer_path)
         kind, tail = id_type(max(codec.size, end_id + 1)), np.array([end_id], "<u4")
 
         def work(batch):
@@ -189,8 +189,7 @@ def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            for x in b.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(x, kind), minlength=size)
+            total += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind), minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -270,7 +269,7 @@ def with_starts(rows: DataFrame) -> DataFrame:
 def round_trip(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes df's ids as files in the shared folder, reads them back: (doc_id, start, n_tokens, ids)."""
     spark = df.sparkSession
-    size = max(Bpe(tokenizer_path).size, end_id + 1)
+    size = max(bpe(tokenizer_path).size, end_id + 1)
     path = shared_dir(spark)
     lengths = write(written(tokenise(df, tokenizer_path, end_id, id_col, text_col)), path, size)
     return read(spark, path, lengths)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Bpe
+from .bpe import codec as bpe
 from .common import buckets_for, map_texts, numbered, strings, written
 
 #: Documents in a fitted pattern at most.
@@ -39,7 +39,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     """
 
     def start():
-        codec = Bpe(tokenizer_path)
+        codec = bpe(tokenizer_path)
         tail = np.array([end_id], "<u4")
 
         def work(batch):

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -141,6 +142,12 @@ class Normaliser:
         return bytes(out), np.array([*at, i], np.int64)
 
 
+@lru_cache(2)
+def encoder(model_path: str) -> Encoder:
+    """One Encoder for all tasks of a worker."""
+    return Encoder(model_path)
+
+
 class Encoder:
     """Ids and original byte spans by a model file."""
 
@@ -187,7 +194,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     """
 
     def start():
-        codec = Encoder(model_path)
+        codec = encoder(model_path)
 
         def work(batch):
             ids, begins, ends = zip(*codec.encode(strings(batch.column(1))), strict=True)
@@ -208,7 +215,7 @@ def decode(df: DataFrame, model_path: str, id_col: str = "id", ids_col: str = "i
     """(id, decoded) of rows that hold id arrays; null counts as empty."""
 
     def start():
-        codec = Encoder(model_path)
+        codec = encoder(model_path)
 
         def work(batch):
             ids = [np.array(x or [], np.int32) for x in batch.column(1).to_pylist()]
