@@ -2,10 +2,11 @@
 
 A fingerprint is cut into SEGMENTS = 2 halves: of at most 3 differing bits, one half holds at most
 one. Each half is indexed under its 32 one-wildcard variants, and fingerprints that share a variant
-meet in an equality join and are verified. A variant shared by more than MOST fingerprints is cut
-again inside its other half (two quarters, their one-wildcard variants), and again (two eighths),
-where 53 bits are equal and only 2**11 fingerprints can be left: no pair is lost and no group is
-unbounded. From a group, links enough to connect it are kept, not all pairs.
+meet in an equality join (rows dealt and sorted by variant) and are verified. A half or variant that
+more than MOST fingerprints share is cut again inside the other half (two quarters, their one-wildcard
+variants), and again (two eighths), where 53 bits are equal and only 2**11 fingerprints can be left:
+no pair is lost and no group is unbounded. From a group, links enough to connect it are kept, not all
+pairs.
 
 Equal texts have equal fingerprints, and equal fingerprints are one node, so copies cost nothing.
 
@@ -29,6 +30,8 @@ BITS, SEED = 64, 42
 MOST_DISTANCE = 3
 #: Fingerprints of a group that are compared in one go: what the third cut leaves at most.
 MOST = 2048
+#: Rows of a partition of the index, about.
+ROWS = 1 << 20
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -65,27 +68,68 @@ def fingerprints(df: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_c
     return map_texts(rows, start, "doc_id long, fp long")
 
 
-def _variants(fp: Column, low: int, width: int) -> list[Column]:
-    """(tag, rest) for each bit of the `width` bits from `low`: which bit is wild, and the others."""
+def _variants(fp: Column, low: int, width: int, bits: int) -> list[Column]:
+    """One long for each bit of the `width` bits from `low`: which bit is wild, then the others."""
     part = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1))
-    return [F.struct(F.lit(low * BITS + k).alias("tag"), part.bitwiseAND(F.lit(~(1 << k))).alias("rest")) for k in range(width)]
+    return [part.bitwiseAND(F.lit(~(1 << k))).bitwiseOR(F.lit((low + k) << bits)) for k in range(width)]
 
 
-def _cut(rows: DataFrame, keys: list[str], parts: list[Column], level: int) -> DataFrame:
-    """Each row under the variants given, as two further key columns."""
-    out = rows.select(*keys, "fp", F.explode(F.array(*parts)).alias("v"))
-    return out.select(*keys, F.col("v.tag").alias(f"t{level}"), F.col("v.rest").alias(f"r{level}"), "fp")
+#: What a level cuts: bits of a piece, and the level's key as bits beside those above.
+_WIDE, _HALF, _EIGHTH = 32, 16, 8
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys two fingerprints or more share, with their number n."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(counts, keys)
+def _halves(fps: DataFrame) -> DataFrame:
+    """(low, v, n): values of either half with the number of fingerprints that hold them."""
+    fp = F.col("fp")
+    both = F.array(*(F.struct(F.lit(at).alias("low"), F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << 32) - 1)).alias("v")) for at in (0, 32)))
+    return fps.select(F.explode(both).alias("h")).select("h.low", "h.v").groupBy("low", "v").agg(F.count(F.lit(1)).alias("n"))
+
 
+def _first(fps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Fingerprints under the variants of their halves, (k1, k2, fp), and members of halves that are
+    too common, (k1, fp) by the half itself.
 
-def _groups(shared: DataFrame, keys: list[str]) -> DataFrame:
-    """Different member lists of the keys with up to MOST fingerprints."""
-    return shared.where(F.col("n") <= MOST).groupBy(*keys).agg(F.sort_array(F.collect_list("fp")).alias("members")).select("members").distinct()
+    What shares a half shares all its variants; a common half is indexed under itself once, and under
+    only those variants by which another half that occurs can be met.
+    """
+    fp, none = F.col("fp"), F.lit(0).cast("long").alias("k2")
+    halves = written(_halves(fps))
+    common = halves.where(F.col("n") > MOST // 2)
+    if common.isEmpty():
+        keys = _variants(fp, 0, 32, _WIDE) + _variants(fp, 32, 32, _WIDE)
+        return fps.select(F.explode(F.array(*keys)).alias("k1"), none, "fp"), None
+    near = common.select("low", "v", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("p")).withColumn("u", F.col("v").bitwiseXOR(F.expr("shiftleft(1L, p)")))
+    met = near.join(halves.select("low", F.col("v").alias("u")), ["low", "u"]).groupBy("low", "v").agg(F.collect_list("p").alias("ps"))
+    common = written(common.join(met, ["low", "v"], "left").select("low", "v", F.coalesce("ps", F.array().cast("array<int>")).alias("ps")))
+    rows = wide = None
+    for at in (0, 32):
+        half = F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << 32) - 1))
+        own = fps.withColumn("v", half).join(common.where(F.col("low") == at).select("v", "ps"), "v", "left")
+        every = F.array(*_variants(fp, at, 32, _WIDE))
+        keys = F.when(F.col("ps").isNull(), every).otherwise(F.transform("ps", lambda p: F.get(every, p)))
+        these = own.select(F.explode(keys).alias("k1"), none, "fp")
+        those = own.where(F.col("ps").isNotNull()).select(F.col("v").bitwiseOR(F.lit((64 + at) << _WIDE)).alias("k1"), "fp")
+        rows = these if rows is None else rows.unionByName(these)
+        wide = those if wide is None else wide.unionByName(those)
+    return rows, written(wide)
+
+
+def _second(wide: DataFrame) -> DataFrame:
+    """Members of wide groups under the variants of the quarters of their other half."""
+    fp, tag = F.col("fp"), F.shiftright("k1", _WIDE)
+    low = (tag < 32) | (tag == 64)
+    cut = lambda at: F.array(*_variants(fp, at, 16, _HALF), *_variants(fp, at + 16, 16, _HALF))
+    return wide.select("k1", F.explode(F.when(low, cut(32)).otherwise(cut(0))).alias("k2"), "fp")
+
+
+def _third(wide: DataFrame) -> DataFrame:
+    """Members of groups still wide under the variants of the eighths of their last quarter."""
+    fp, quarter = F.col("fp"), F.floor(F.shiftright("k2", _HALF) / F.lit(16)).cast("int")
+    keys = F.array().cast("array<bigint>")
+    for own in range(4):
+        at = 16 * (own ^ 1)
+        keys = F.when(quarter == own, F.array(*_variants(fp, at, 8, _EIGHTH), *_variants(fp, at + 8, 8, _EIGHTH))).otherwise(keys)
+    return wide.select("k1", F.explode(keys).alias("k3"), "k2", "fp").select("k1", F.shiftleft("k2", 16).bitwiseOR(F.col("k3")).alias("k2"), "fp")
 
 
 def _connect(members: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -109,6 +153,68 @@ def _connect(members: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
+def _meet(rows: DataFrame, count: int, distance: int) -> DataFrame:
+    """(k1, k2, a, b): links (k1 null) of the groups of (k1, k2) with up to MOST members, and the
+    members (b null) of wider ones.
+
+    Rows arrive sorted by key, and a task holds one group up to MOST: wider ones flow through. count:
+    how many rows there are about.
+    """
+
+    def groups(batches):
+        """Columns, starts of whole groups in them (None: all of one wide group), and their end."""
+        held = wide = None
+        for b in batches:
+            own = [b.column(c).to_numpy() for c in ("k1", "k2", "fp")]
+            if wide is not None:
+                same = (own[0] == wide[0]) & (own[1] == wide[1])
+                n = len(same) if same.all() else int(np.argmin(same))
+                if n:
+                    yield [x[:n] for x in own], None, n
+                if n == len(same):
+                    continue
+                own, wide = [x[n:] for x in own], None
+            if held is not None:
+                own = [np.concatenate(x) for x in zip(held, own, strict=True)]
+            starts = np.concatenate([[0], np.flatnonzero((np.diff(own[0]) != 0) | (np.diff(own[1]) != 0)) + 1])
+            begin = int(starts[-1])
+            if begin:
+                yield own, starts[:-1], begin
+            held = [x[begin:].copy() for x in own]
+            if len(held[0]) > MOST:
+                wide = held[0][0], held[1][0]
+                yield held, None, len(held[0])
+                held = None
+        if held is not None:
+            yield held, np.array([0]), len(held[0])
+
+    def run(batches):
+        for own, starts, end in groups(batches):
+            k1, k2, fp = own
+            links, wide = [], []
+            if starts is None:
+                wide.append(np.arange(end))
+            elif len(starts):
+                sizes = np.diff(np.concatenate([starts, [end]]))
+                two = starts[sizes == 2]
+                near = two[np.bitwise_count(fp[two].view(np.uint64) ^ fp[two + 1].view(np.uint64)) <= distance]
+                links += list(zip(fp[near].tolist(), fp[near + 1].tolist(), strict=True))
+                for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+                    if n <= MOST:
+                        links += _connect(fp[at : at + n], distance)
+                    else:
+                        wide.append(np.arange(at, at + n))
+            if links:
+                a, b = zip(*links, strict=True)
+                none = pa.nulls(len(a), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["k1", "k2", "a", "b"])
+            for rows_ in wide:
+                yield pa.RecordBatch.from_arrays([pa.array(k1[rows_]), pa.array(k2[rows_]), pa.array(fp[rows_]), pa.nulls(len(rows_), pa.int64())], names=["k1", "k2", "a", "b"])
+
+    keyed = rows.repartition(max(1, -(-count // ROWS)), "k1", "k2").sortWithinPartitions("k1", "k2")
+    return written(keyed.mapInArrow(run, "k1 long, k2 long, a long, b long").distinct())
+
+
 def links(fps: DataFrame, distance: int = MOST_DISTANCE) -> DataFrame:
     """(a, b) of different fingerprints at most `distance` bits apart, enough to connect all such.
 
@@ -116,39 +222,19 @@ def links(fps: DataFrame, distance: int = MOST_DISTANCE) -> DataFrame:
     """
     if distance > MOST_DISTANCE:
         raise ValueError(f"two segments guarantee a wildcard match up to {MOST_DISTANCE} bits")
-
-    def verify(batches):
-        for b in batches:
-            for values in b.column(0):
-                if found := _connect(values.values.to_numpy(), distance):
-                    a, c = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
-
-    fp = F.col("fp")
-    first = ["t1", "r1"]
-    one = written(_shared(_cut(fps, [], _variants(fp, 0, 32) + _variants(fp, 32, 32), 1), first))
-    groups = _groups(one, first)
-    if not one.where(F.col("n") > MOST).isEmpty():  # the other half: bits 32 on if the first was 0 on
-        low = F.col("t1") < 32 * BITS
-        second = [*first, "t2", "r2"]
-        wide = one.where(F.col("n") > MOST).drop("n")
-        two = written(_shared(_either(wide, first, low, [(32, 16), (48, 16)], [(0, 16), (16, 16)], 2), second))
-        groups = groups.unionByName(_groups(two, second))
-        wide = two.where(F.col("n") > MOST).drop("n")
-        third = [*second, "t3", "r3"]
-        pieces = []
-        for own in (0, 16, 32, 48):  # the quarter that was indexed; its neighbour is cut
-            other = own ^ 16
-            pieces.append(_cut(wide.where((F.col("t2") >= own * BITS) & (F.col("t2") < own * BITS + 16)), second, _variants(fp, other, 8) + _variants(fp, other + 8, 8), 3))
-        three = pieces[0].unionByName(pieces[1]).unionByName(pieces[2]).unionByName(pieces[3])
-        groups = groups.unionByName(_groups(_shared(three, third), third))
-    return groups.distinct().mapInArrow(verify, "a long, b long").distinct()
-
-
-def _either(rows: DataFrame, keys: list[str], which: Column, yes: list, no: list, level: int) -> DataFrame:
-    fp = F.col("fp")
-    cut = lambda part, spans: _cut(part, keys, [v for low, width in spans for v in _variants(fp, low, width)], level)
-    return cut(rows.where(which), yes).unionByName(cut(rows.where(~which), no))
+    rows, common = _first(fps)
+    met = _meet(rows, BITS * fps.count(), distance)
+    found = met.where("b IS NOT NULL").select("a", "b")
+    for cut, variants in ((_second, 32), (_third, 16)):
+        wide = met.where("b IS NULL").select("k1", "k2", F.col("a").alias("fp"))
+        if common is not None and cut is _second:
+            wide = wide.unionByName(common.select("k1", F.lit(0).cast("long").alias("k2"), "fp"))
+        n = wide.count()
+        if not n:
+            break
+        met = _meet(cut(wide), variants * n, distance)
+        found = found.unionByName(met.where("b IS NOT NULL").select("a", "b"))
+    return found.distinct()
 
 
 def near_duplicates(df: DataFrame, shingle: int = 3, distance: int = MOST_DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
