@@ -46,14 +46,17 @@ def decide(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.regexp_replace(F.col("url").cast("string"), r"[\r\n]", "").alias("url"), html.alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8"))).withColumn("bytes", F.octet_length("html").cast("long"))
     total = rows.agg(F.sum("bytes")).first()[0] or 0
-    files = max(1, -(-(total + 1) // FILE_BYTES))
+    # At least as many as joins make by themselves: fewer, and they would deal the payloads anew.
+    files = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
     large = rows.where(F.col("bytes") >= least).select("page_id", "digest")
     keepers = large.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    asked = large.distinct().join(keepers, "digest").withColumnRenamed("digest", "d").withColumnRenamed("page_id", "p")
-    spread = rows.repartition(files, "page_id", "digest")
-    joined = spread.join(asked, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left").drop("p", "d")
-    copy = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url")) - 1
-    out = joined.withColumn("copy", copy.cast("long"))
+    # A page id as text, null among them, joins plainly: one deal serves the join and the window.
+    named = F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("name")
+    asked = large.select(named, "digest").distinct().join(keepers, "digest")
+    spread = rows.select("*", named).repartition(files, "name", "digest")
+    joined = spread.join(asked, ["name", "digest"], "left")
+    copy = F.row_number().over(Window.partitionBy("name", "digest").orderBy("url")) - 1
+    out = joined.withColumn("copy", copy.cast("long")).drop("name")
     itself = F.col("keeper").isNull() | (F.col("keeper").eqNullSafe(F.col("page_id")) & (F.col("copy") == 0))
     return out.withColumn("keeper", F.when(~itself, F.col("keeper")))
 
