@@ -208,11 +208,17 @@ def write(tokens: DataFrame, path: str, size: int) -> np.ndarray:
     lengths, kind = code_lengths(counts), id_type(size)
     files = max(1, -(-int(counts.sum()) // FILE_IDS))
 
+    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))) + F.col("crc") / float(1 << 32)
+    cuts = [i / files for i in range(1, files)]
+    found = tokens.agg(F.percentile_approx(place, cuts, max(10_000, 20 * files)).alias("q")).first().q if cuts else None
+    bounds = np.array(found or [], np.float64)
+
     def compress(batches):
         book = Codebook(lengths)
         for b in batches:
             bits, marks = zip(*(book.encode(np.frombuffer(x, kind)) for x in b.column("ids").to_pylist()), strict=True)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "n_tokens", "crc")), pa.array([m.tobytes() for m in marks], pa.binary()), pa.array(bits, pa.binary())], names=["doc_id", "n_tokens", "crc", "marks", "bits"])
+            own = np.searchsorted(bounds, b.column("place").to_numpy(), "left").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(own), *(b.column(c) for c in ("doc_id", "n_tokens", "crc")), pa.array([m.tobytes() for m in marks], pa.binary()), pa.array(bits, pa.binary())], names=["file", "doc_id", "n_tokens", "crc", "marks", "bits"])
 
     def blocks(batches):
         docs, counts_, marks, bits, held = [], [], [], [], 0
@@ -226,9 +232,10 @@ def write(tokens: DataFrame, path: str, size: int) -> np.ndarray:
         if docs:
             yield pa.RecordBatch.from_arrays([pa.array([pack_block(docs, counts_, marks, bits)[:-1]], pa.binary())], names=["value"])
 
-    coded = tokens.mapInArrow(compress, "doc_id long, n_tokens int, crc long, marks binary, bits binary")
+    # Files are cut at quantiles found beforehand: ranges that Spark samples would encode all twice.
+    coded = tokens.withColumn("place", place).mapInArrow(compress, "file int, doc_id long, n_tokens int, crc long, marks binary, bits binary")
     keys = [F.asc_nulls_first("doc_id"), F.col("crc"), F.col("n_tokens")]
-    ordered = coded.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    ordered = coded.repartitionById(files, F.col("file")).sortWithinPartitions(*keys)
     ordered.mapInArrow(blocks, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
     return lengths
 
