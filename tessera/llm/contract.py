@@ -83,4 +83,14 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_packing, op3_huffman, op4_quality, op5_warc, op6_pii, op7_topk, op8_sharding, op9_simhash, op10_rules)}
-ORACLES: dict[str, str] = {}
+#: Where SQL can express an operator's results.
+ORACLES: dict[str, str] = {
+    "op5_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), d AS (SELECT page_id, cast(strlen(h) AS bigint) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+        m AS (SELECT payload_digest, max(page_id) AS top FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT d.*, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN top <> page_id THEN top END AS refers_to
+        FROM d LEFT JOIN m ON m.payload_digest = d.payload_digest AND d.payload_bytes >= 1000""",
+    "op7_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * cast(x AS double))) AS v FROM embeddings),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, cast(list_inner_product(q.v, c.v) AS bigint) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank FROM s) SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_rules": rules.SQL,
+}
