@@ -87,7 +87,7 @@ def better_classes(sizes: dict[int, int], classes: list[int], rounds: int = 200)
         worst = max(by_class, key=lambda c: sum((c - s) * sizes[s] for s in by_class[c]), default=None)
         if worst is None:
             break
-        moves = [sorted({*best, s} - {gone}) for s in by_class[worst][:-1] or by_class[worst] for gone in best[:-1] if gone != s]
+        moves = [sorted({*best, s} - {gone}) for s in by_class[worst] if s != worst for gone in best[:-1] if gone != s]
         candidates = [(cost(m), m) for m in moves if len(m) == len(best)]
         if not candidates or min(candidates)[0] >= now:
             break
