@@ -48,7 +48,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = written(simhash.near_duplicates(docs, shingle=3, distance=3))
     own = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own_id")).distinct()
-    kept = docs.join(own, docs.doc_id.eqNullSafe(own.own_id), "left_semi")
+    # Kept ids grow with the corpus: they are merged, never broadcast, at every size.
+    kept = docs.join(own.hint("merge"), docs.doc_id.eqNullSafe(own.own_id), "left_semi")
     if found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         return kept
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
