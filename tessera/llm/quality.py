@@ -203,8 +203,10 @@ def fit(rows: DataFrame, labels: DataFrame, most_positives: int = MOST_POSITIVES
     text, of which then only the sampled rows are measured. None without a trusted positive.
     """
     seen = rows.where(~held_out(F.col("doc_id")))
-    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = 1 AND hi = 1").select("doc_id")
-    drawn = [_sampled(seen.join(trusted, "doc_id", "left_semi"), most_positives), _sampled(seen, most_unlabelled)]
+    named = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
+    # Bounded by the parameter, so broadcast: no text moves for it, however many documents there are.
+    trusted = named.where("lo = 1 AND hi = 1").orderBy(F.xxhash64(F.col("doc_id"), F.lit("sample")), "doc_id").limit(most_positives).select("doc_id")
+    drawn = [seen.join(F.broadcast(trusted), "doc_id", "left_semi"), _sampled(seen, most_unlabelled)]
     return _learn(*(_matrix(r if "x" in rows.columns else measured(r)) for r in drawn))
 
 
