@@ -109,7 +109,7 @@ class Bpe:
 
     def _ranked(self, text: str) -> np.ndarray:
         try:
-            return np.asarray(self.ranks.encode_to_numpy(text, disallowed_special=()), "<u4")
+            return np.array(self.ranks.encode_ordinary(text), "<u4")
         except BaseException as e:  # a panic of the quick library is no Exception
             if isinstance(e, (KeyboardInterrupt, SystemExit)):
                 raise
@@ -125,7 +125,7 @@ class Bpe:
         if not words:
             return np.empty(0, "<u4")
         try:
-            return ids[np.asarray(encoding.encode_to_numpy(MARK.join(words) + MARK, disallowed_special=()))]
+            return ids[np.array(encoding.encode_ordinary(MARK.join(words) + MARK), np.int64)]
         except BaseException as e:
             if isinstance(e, (KeyboardInterrupt, SystemExit)):
                 raise
