@@ -34,12 +34,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, partition_hint: int | None = None) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: read again, it has no lineage to recompute."""
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(table_: DataFrame) -> None:
+    """Deletes a written table that nothing will read again."""
+    spark = table_.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(table_.written_to)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def map_texts(
@@ -52,6 +61,7 @@ def map_texts(
         for batch in batches:
             for part in cut(batch):
                 yield from work(part)
+        pa.default_memory_pool().release_unused()  # workers live on, and the next task may need little
 
     return df.mapInArrow(run, schema)
 

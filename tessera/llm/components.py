@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 #: Rounds after which something must be wrong: they grow as the logarithm of the longest chain.
 ROUNDS = 64
@@ -41,6 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if not mark.n or (mark.n, mark.h) == state:
             return now.select("u", F.col("v").alias("root"))
-        state = (mark.n, mark.h)
+        state, before = (mark.n, mark.h), now
         now = written(_star(_star(now, True), False))
+        discard(before)
     raise RuntimeError("components did not settle")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import codec as bpe
-from .common import map_texts, shared_dir, strings, written
+from .common import discard, map_texts, shared_dir, strings, written
 
 MAGIC = b"THUF"
 #: Bits of the longest code, unless there are more ids than such codes.
@@ -278,5 +278,7 @@ def round_trip(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str
     spark = df.sparkSession
     size = max(bpe(tokenizer_path).size, end_id + 1)
     path = shared_dir(spark)
-    lengths = write(written(tokenise(df, tokenizer_path, end_id, id_col, text_col)), path, size)
+    tokens = written(tokenise(df, tokenizer_path, end_id, id_col, text_col))
+    lengths = write(tokens, path, size)
+    discard(tokens)
     return read(spark, path, lengths)
