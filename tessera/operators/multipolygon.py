@@ -7,7 +7,6 @@ to (x, y) on the way out; outer rings run counter-clockwise there, holes clockwi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tags as T
+from ..functions.geo import mercator_x, mercator_y
 from . import overlay, resolve
 from .rings import assemble
 
@@ -186,19 +186,18 @@ def resolved_tags(polygons_: DataFrame, relations: DataFrame, members: DataFrame
     return joined.withColumn("tags", F.coalesce(tags, empty)).drop("own", "es", "outer_tags")
 
 
-def multipolygons(copies: DataFrame, relations: DataFrame, members: DataFrame, ways: DataFrame) -> DataFrame:
-    """schemas.MULTIPOLYGONS of way copies, in (x, y)."""
-    from ..functions.geo import mercator_x, mercator_y
-
-    built = assemble_relations(copies).where("poly_no >= 0")
-    tagged = resolved_tags(built, relations, members, ways)
+def tagged(built: DataFrame, relations: DataFrame, members: DataFrame, ways: DataFrame) -> DataFrame:
+    """schemas.MULTIPOLYGONS of assembled rings, in (x, y)."""
+    out = resolved_tags(built.where("poly_no >= 0"), relations, members, ways)
     rings = F.transform("lines", lambda r: F.transform(r, lambda p: F.struct(mercator_x(p["b"]).alias("x"), mercator_y(p["a"]).alias("y"))))
-    return tagged.select("rel_id", "poly_no", rings.alias("rings"), "way_ids", "tags")
+    return out.select("rel_id", "poly_no", rings.alias("rings"), "way_ids", "tags")
+
+
+def multipolygons(copies: DataFrame, relations: DataFrame, members: DataFrame, ways: DataFrame) -> DataFrame:
+    """schemas.MULTIPOLYGONS of way copies."""
+    return tagged(assemble_relations(copies), relations, members, ways)
 
 
-def check(points: list) -> Iterator[str]:
-    """What is wrong with a ring, if anything."""
-    if len(points) < 4 or points[0] != points[-1]:
-        yield "not a closed ring"
-    elif overlay.signed_area(points) == 0:
-        yield "no area"
+def warnings(built: DataFrame) -> DataFrame:
+    """(rel_id, warning): open ends, identical rings and unions that failed."""
+    return built.select("rel_id", F.explode("warnings").alias("warning"))

@@ -7,6 +7,8 @@ and weights only; features join their leaves at the end.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +72,9 @@ def leaves(features: DataFrame, keys: list[str], within: list[str], budget: int
     bytes. A cell is a leaf when what touches it weighs no more than the budget, or at most_depth.
     tile_index: within, path, is_leaf, n, bytes, of inner cells too.
     """
+    sc = features.sparkSession.sparkContext
+    if not sc.getCheckpointDir():  # a cluster names its shared folder; alone, a folder of our own will do
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
     rows = at_root(features.select(*keys, *[c for c in within if c not in keys], box, "bytes").where(F.col(box).isNotNull()))
     found = index = None
     for depth in range(most_depth + 1):

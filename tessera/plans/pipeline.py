@@ -70,9 +70,12 @@ def renumbered(entities: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, entities: DataFrame, dest: str, renumber: bool = False) -> Store:
-    """Stores of schemas.ENTITIES rows; ids that are not positive are refused."""
+    """Stores of schemas.ENTITIES rows. Ids that are not positive, and nodes outside the world, go to
+    `refused` instead of ending the run."""
     store = Store(spark, dest)
-    rows = entities.where("id > 0")
+    fine = F.coalesce((F.col("id") > 0) & ((F.col("entity") != "NODE") | geo.in_range(F.col("lat"), F.col("lng"))), F.lit(False))
+    store.write("refused", entities.where(~fine).select("entity", "id", "version", "lat", "lng"))
+    rows = entities.where(fine)
     if renumber:
         # File order, by partition and row, made lasting before ids depend on it.
         rows = store.write("entities", rows.withColumn("seq", F.monotonically_increasing_id()))
@@ -104,20 +107,22 @@ def resolve_store(spark: SparkSession, path: str, multipolygons: bool = True, re
         located = store.read("located_ways")
     if multipolygons:
         copies = resolve.way_copies(members, relations, located)
-        store.write("multipolygons", multipolygon.multipolygons(copies, relations, members, located))
+        built = store.write("rings", multipolygon.assemble_relations(copies))
+        store.write("ring_warnings", multipolygon.warnings(built))
+        store.write("multipolygons", multipolygon.tagged(built, relations, members, located))
     return store
 
 
 def features(ways: DataFrame, relations: DataFrame, polygons: DataFrame | None, nodes: DataFrame, lod: bool = True, outer_ways: bool = True) -> DataFrame:
-    """Rows by layer and zoom: layer, zoom, entity_type, entity_id, geom_kind, z_index, tags, rings, bbox, bytes."""
+    """Rows by layer and zoom: layer, zoom, entity_type, entity_id, part (of a relation), geom_kind, z_index, tags, rings, bbox, bytes."""
     members = resolve.member_edges(relations)
     if polygons is not None and not outer_ways:
         ways = resolve.without_outer_ways(ways, polygons)
     ways = resolve.with_boundary_tags(ways, members, relations).where(F.size("refs") >= 2)
-    lines = ways.select(F.lit("WAY").alias("entity_type"), F.col("id").alias("entity_id"), geo.is_closed(F.col("refs")).alias("closed"), F.array(geo.project(F.col("refs"))).alias("rings"), "tags")
+    lines = ways.select(F.lit("WAY").alias("entity_type"), F.col("id").alias("entity_id"), F.lit(0).alias("part"), geo.is_closed(F.col("refs")).alias("closed"), F.array(geo.project(F.col("refs"))).alias("rings"), "tags")
     parts = [layers.classified(lines.where(F.size(F.col("rings")[0]) >= 2), layers.WAY_LAYERS, "closed", lod)]
     if polygons is not None:
-        shapes = polygons.select(F.lit("RELATION").alias("entity_type"), F.col("rel_id").alias("entity_id"), F.lit(True).alias("closed"), "rings", "tags")
+        shapes = polygons.select(F.lit("RELATION").alias("entity_type"), F.col("rel_id").alias("entity_id"), F.col("poly_no").alias("part"), F.lit(True).alias("closed"), "rings", "tags")
         # Relations are polygons in every layer, area or not, and simplified as such.
         parts.append(layers.classified(shapes, layers.WAY_LAYERS, "closed", lod))
     shaped = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -125,7 +130,7 @@ def features(ways: DataFrame, relations: DataFrame, polygons: DataFrame | None,
     shaped = simplify.pyramids(shaped.withColumn("geom_kind", kind).withColumn("area", F.col("geom_kind") == "POLYGON").drop("closed", "level"), lod)
     points = nodes.where(F.size("tags") > 0).where(geo.in_range(F.col("lat"), F.col("lng")))
     spot = F.array(F.array(F.struct(geo.mercator_x(F.col("lng")).alias("x"), geo.mercator_y(F.col("lat")).alias("y"))))
-    spots = points.select(F.lit("NODE").alias("entity_type"), F.col("id").alias("entity_id"), spot.alias("rings"), "tags")
+    spots = points.select(F.lit("NODE").alias("entity_type"), F.col("id").alias("entity_id"), F.lit(0).alias("part"), spot.alias("rings"), "tags")
     placed = layers.by_zoom(layers.classified(spots, layers.POINT_LAYERS, None, lod)).withColumn("geom_kind", F.lit("POINT")).drop("level")
     out = shaped.unionByName(placed.select(*shaped.columns)).drop("area")
     flat = F.flatten("rings")
@@ -137,10 +142,9 @@ def tile(spark: SparkSession, source: str, dest: str, lod: bool = True, budget:
     store, out = Store(spark, source), Store(spark, dest)
     polygons = store.read("multipolygons")
     rows = features(store.read("located_ways"), store.read("relations"), polygons, store.read("nodes"), lod, outer_ways)
-    key = F.xxhash64("layer", "zoom", "entity_type", "entity_id", F.to_json("bbox"), F.to_json("rings"))
-    rows = out.write("features", rows.withColumn("fid", key))
-    held, index = quadtree.leaves(rows, ["fid"], ["layer", "zoom"], budget)
+    key = ["layer", "zoom", "entity_type", "entity_id", "part"]
+    rows = out.write("features", rows)
+    held, index = quadtree.leaves(rows, key, ["layer", "zoom"], budget)
     out.write("tile_index", index)
-    tiles = rows.drop("bytes").join(held, ["fid", "layer", "zoom"]).drop("fid")
-    quadtree.write(tiles, f"{dest}/tiles")
+    quadtree.write(rows.drop("bytes").join(held, key), f"{dest}/tiles")
     return out

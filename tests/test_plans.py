@@ -70,6 +70,7 @@ def test_files_to_tiles(spark, tmp_path, renumber):
     (poly,) = out.read("multipolygons").collect()
     assert len(poly.rings) == 2 and sorted(poly.way_ids) == sorted(own("WAY", w) for w in (1, 2)) and poly.tags == {"landuse": "forest"}
     assert out.read("reverse_refs").where("target_type = 'WAY'").count() == 4
+    assert out.read("ring_warnings").count() == 0 and out.read("refused").count() == 0
     done = pipeline.tile(spark, store, tiles, budget=400)
     rows = done.read("features")
     kinds = {(r.layer, r.entity_type, r.geom_kind) for r in rows.select("layer", "entity_type", "geom_kind").distinct().collect()}
@@ -111,3 +112,27 @@ def test_classes(spark):
     cost = lambda own: sum((min(c for c in own if c >= s) - s) * n for s, n in sizes.items())
     assert cost(better) < cost([20, 60, 100]) and len(better) == 3
     assert len(tools.geometric_classes(10**6)) <= 65
+
+
+def test_shell(spark, tmp_path, capsys):
+    from tessera.__main__ import main
+
+    (tmp_path / "w.pbf").write_bytes(world())
+    store, tiles = str(tmp_path / "s"), str(tmp_path / "t")
+    main(["ingest", str(tmp_path / "w.pbf"), "--dest", store, "--remap"], spark)
+    main(["resolve", store, "-u"], spark)
+    assert {r.target_type for r in spark.read.parquet(f"{store}/reverse_refs").collect()} == {"WAY"}
+    main(["resolve", store, "-r"], spark)  # multipolygons anew, from what was located
+    main(["tile", store, "--dest", tiles, "-l"], spark)
+    main(["unmap", store, "n", "1"], spark)
+    assert capsys.readouterr().out.split() == ["100", "https://www.openstreetmap.org/node/100"]
+
+
+def test_refused_rows_do_not_end_the_run(spark, tmp_path):
+    w = pbf.PbfWriter()
+    w.node(1, 2_000_000_000, 0)
+    w.node(2, 0, 0, {"place": "town"})
+    w.way(3, [2, 2], {})
+    (tmp_path / "w.pbf").write_bytes(w.flush())
+    out = pipeline.ingest(spark, pbf.read(spark, str(tmp_path / "w.pbf")), str(tmp_path / "s"))
+    assert [r.id for r in out.read("refused").collect()] == [1] and [r.id for r in out.read("nodes").collect()] == [2]
