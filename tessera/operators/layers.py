@@ -184,14 +184,27 @@ def classified(features: DataFrame, layers: tuple[Layer, ...] = WAY_LAYERS, clos
     tags = F.col("tags")
     ring = F.lit(True) if closed is None else F.col(closed)
 
-    def row(layer: Layer) -> Column:
-        zooms = layer.zooms if lod else (MAX_ZOOM,)
-        return F.struct(F.lit(layer.name).alias("layer"), F.lit(layer.area).alias("area"), layer.level(tags, ring).alias("level"), F.array(*map(F.lit, zooms)).alias("zooms"), layer.z_index(tags).cast("int").alias("z_index"), layer.tags(tags).alias("ltags"))
-
-    rows = F.filter(F.array(*map(row, layers)), lambda r: r["level"] >= 0)
+    levels = F.array(*(F.struct(F.lit(k).alias("no"), layer.level(tags, ring).alias("level")) for k, layer in enumerate(layers)))
     rest = [c for c in features.columns if c != "tags"]
-    out = features.select(*rest, F.explode(rows).alias("_r")).select(*rest, "_r.layer", "_r.area", "_r.level", "_r.zooms", "_r.z_index", F.col("_r.ltags").alias("tags"))
-    return out.withColumn("zooms", F.filter("zooms", lambda z: (z >= F.col("level")) | (z == MAX_ZOOM)))
+    rows = features.select(*rest, "tags", F.explode(F.filter(levels, lambda r: r["level"] >= 0)).alias("_r")).select(*rest, "tags", "_r.no", "_r.level")
+
+    def of_layer(value) -> Column:
+        """What a layer has, worked out for the rows of that layer only."""
+        out = value(layers[-1])
+        for k in range(len(layers) - 2, -1, -1):
+            out = F.when(F.col("no") == k, value(layers[k])).otherwise(out)
+        return out
+
+    zooms = of_layer(lambda x: F.array(*map(F.lit, x.zooms if lod else (MAX_ZOOM,))))
+    return rows.select(
+        *rest,
+        of_layer(lambda x: F.lit(x.name)).alias("layer"),
+        of_layer(lambda x: F.lit(x.area)).alias("area"),
+        "level",
+        F.filter(zooms, lambda z: (z >= F.col("level")) | (z == MAX_ZOOM)).alias("zooms"),
+        of_layer(lambda x: x.z_index(tags).cast("int")).alias("z_index"),
+        of_layer(lambda x: x.tags(tags)).alias("tags"),
+    )
 
 
 def by_zoom(classified_: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Multipolygons of relations: one grouped Arrow call a relation, tags by expressions.
+"""Multipolygons of relations: rings in Arrow batches of relations, tags by expressions.
 
 Rings are assembled, healed, joined where they touch or overlap, ordered by what contains what, and
 flattened to outer rings with holes. Coordinates are (lat, lng) while rings are built and projected
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,21 +144,31 @@ def _rounded(points: list, first: bool) -> list[dict]:
     return [{"a": round(a), "b": round(b)} for a, b in (ccw[::-1] if first else ccw)]
 
 
-def _relation(pdf: pd.DataFrame) -> pd.DataFrame:
-    rel_id = int(pdf.rel_id.iloc[0])
-    ways = [(int(w), [(int(p["a"]), int(p["b"])) for p in ps]) for _, w, ps in sorted(zip(pdf.pos, pdf.way_id, pdf.points, strict=True), key=lambda r: r[0])]
-    found, warnings = build(ways)
-    rows = [(rel_id, k, [_rounded(r.points, True), *(_rounded(h.points, False) for h in r.holes)], r.ways, warnings if not k else []) for k, r in enumerate(found)]
-    if not rows and warnings:
-        rows = [(rel_id, -1, [], [], warnings)]
-    return pd.DataFrame(rows, columns=["rel_id", "poly_no", "lines", "way_ids", "warnings"])
+_PLACES = pa.list_(pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
 
 
 def assemble_relations(copies: DataFrame) -> DataFrame:
-    """Rings of way copies (rel_id, pos, way_id, refs): OUT, poly_no -1 where nothing but warnings came."""
+    """Rings of way copies (rel_id, pos, way_id, refs): OUT, poly_no -1 where nothing but warnings came.
+
+    A relation's ways meet in one row; rows go to Python in batches of many relations.
+    """
     located = F.filter("refs", lambda r: r["lat"].isNotNull())
     points = F.transform(located, lambda r: F.struct(r["lat"].alias("a"), r["lng"].alias("b")))
-    return copies.select("rel_id", "pos", "way_id", points.alias("points")).groupBy("rel_id").applyInPandas(_relation, OUT)
+    ways = F.sort_array(F.collect_list(F.struct("pos", "way_id", points.alias("points")))).alias("ways")
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for rel_id, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found, warnings_ = build([(w["way_id"], [(p["a"], p["b"]) for p in w["points"]]) for w in own])
+                rows += [(rel_id, k, [_rounded(r.points, True), *(_rounded(h.points, False) for h in r.holes)], r.ways, warnings_ if not k else []) for k, r in enumerate(found)]
+                if not found and warnings_:
+                    rows.append((rel_id, -1, [], [], warnings_))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int32(), _PLACES, pa.list_(pa.int64()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["rel_id", "poly_no", "lines", "way_ids", "warnings"])
+
+    return copies.groupBy("rel_id").agg(ways).mapInArrow(run, OUT)
 
 
 def resolved_tags(polygons_: DataFrame, relations: DataFrame, members: DataFrame, ways: DataFrame) -> DataFrame:

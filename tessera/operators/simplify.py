@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.geo import MAX_ZOOM, pixel
 from ..schemas import POINT
 
+#: Lines of up to so many points are simplified without arrays.
+SHORT = 24
 #: Areas with more points than this keep their topology when simplified.
 SMALL_RING = 5
 
@@ -33,9 +35,33 @@ def _far(points: np.ndarray, a: int, b: int) -> tuple[int, float]:
     return a + 1 + far, float(squared[far])
 
 
+def _short(points: list, tolerance: float) -> list[int]:
+    """kept_points of a few points, without arrays."""
+    keep, todo, limit = {0, len(points) - 1}, [(0, len(points) - 1)], tolerance * tolerance
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        px, py = points[a]
+        cx, cy = points[b][0] - px, points[b][1] - py
+        length = cx * cx + cy * cy
+        far, most = a, -1.0
+        for k in range(a + 1, b):
+            x, y = points[k][0] - px, points[k][1] - py
+            squared = (cx * y - cy * x) ** 2 / length if length else x * x + y * y
+            if squared > most:
+                far, most = k, squared
+        if most >= limit:
+            keep.add(far)
+            todo += [(a, far), (far, b)]
+    return sorted(keep)
+
+
 def kept_points(points: np.ndarray, tolerance: float) -> np.ndarray:
     """Places of the points that Douglas and Peucker's method keeps; one as far as the tolerance stays."""
     n = len(points)
+    if 0 < n <= SHORT:
+        return np.array(_short(points.tolist(), tolerance))
     keep = np.zeros(n, bool)
     if not n:
         return np.flatnonzero(keep)
@@ -87,6 +113,8 @@ def simplified_ring(points: np.ndarray, tolerance: float) -> np.ndarray:
     if n < 5:
         return points
     keep = set(kept_points(exact, tolerance).tolist()) | {0, n - 1}
+    if len(keep) == n:
+        return points
     for _ in range(n):
         while len(keep) < 4:  # a ring needs an inside
             own = sorted(keep)
@@ -167,19 +195,36 @@ def pyramids(features: DataFrame, lod: bool = True) -> DataFrame:
     def run(batches):
         for b in batches:
             rows, zooms, shapes = [], [], []
-            for i, (rings, area, own) in enumerate(zip(*(b.column(c).to_pylist() for c in ("rings", "area", "zooms")), strict=True)):
+            for i, (rings, area, own) in enumerate(zip(_rings(b.column("rings")), b.column("area").to_pylist(), b.column("zooms").to_pylist(), strict=True)):
                 if not rings:
                     continue
-                for zoom, level in pyramid([to_array(r) for r in rings], area, own, lod):
-                    rows.append(i), zooms.append(zoom), shapes.append([from_array(r) for r in level])
+                for zoom, level in pyramid(rings, area, own, lod):
+                    rows.append(i), zooms.append(zoom), shapes.append(level)
             taken = pa.array(rows, pa.int64())
             columns = [b.column(c).take(taken) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(zooms, pa.int32()), pa.array(shapes, RINGS_TYPE)], names=[*names, "zoom", "rings"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(zooms, pa.int32()), _nested(shapes)], names=[*names, "zoom", "rings"])
 
     schema = ", ".join(f"`{features.schema[c].name}` {features.schema[c].dataType.simpleString()}" for c in names)
     return features.mapInArrow(run, f"{schema}, zoom int, rings array<array<{POINT}>>")
 
 
+def _rings(column: pa.ListArray):
+    """The rings of each row as arrays, none for null."""
+    outer, lists = column.offsets.to_numpy(), column.values
+    inner, points = lists.offsets.to_numpy(), lists.values
+    flat = np.stack([points.field(k).to_numpy(zero_copy_only=False) for k in ("x", "y")], 1).astype(np.int64) if len(points) else np.empty((0, 2), np.int64)
+    for valid, a, b in zip(column.is_valid().to_pylist(), outer, outer[1:], strict=False):
+        yield [flat[inner[k] : inner[k + 1]] for k in range(a, b)] if valid else []
+
+
+def _nested(shapes: list[list[np.ndarray]]) -> pa.ListArray:
+    rings = [r for s in shapes for r in s]
+    flat = np.concatenate([*rings, np.empty((0, 2), np.int64)]).astype(np.int32)
+    ends = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    points = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, k])) for k in (0, 1)], fields=list(POINT_TYPE))
+    return pa.ListArray.from_arrays(ends([len(s) for s in shapes]), pa.ListArray.from_arrays(ends([len(r) for r in rings]), points))
+
+
 def lines_and_rings(features: DataFrame, points_col: str = "points") -> DataFrame:
     """A feature's points as its only ring."""
     return features.withColumn("rings", F.array(points_col)).drop(points_col)

@@ -558,7 +558,7 @@ _figure("ring_dissolve", [(1, 0, 2, "2 * s * s"), (1, 0, 2, "0.75 * s * s"), (1,
 _figure("ring_hierarchy", [(1, 1, 1, "0.75 * s * s"), (2, 1, 2, "0.75 * s * s + 0.0625 * s * s")])
 
 
-@query("multipolygon_build", "SELECT c_custkey AS rel_id, cast(CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS bigint) AS rings, true AS ccw FROM customer WHERE c_custkey < 0 UNION ALL SELECT cast(c_custkey + 1 AS bigint), cast(CASE WHEN (c_custkey + 1) % 2 = 0 THEN 2 ELSE 3 END AS bigint), true FROM customer WHERE c_mktsegment = 'BUILDING'")
+@query("multipolygon_build", "SELECT c_custkey AS rel_id, cast(CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS bigint) AS rings, true AS ccw FROM customer WHERE c_custkey IN (SELECT c_custkey + 1 FROM customer WHERE c_mktsegment = 'BUILDING')")
 def multipolygon_build(spark, d):
     """Projected multipolygons of nested squares: rings by relation, and whether outer ones run counter-clockwise."""
     copies = _case_copies(spark, d, _CASES["ring_hierarchy"])
