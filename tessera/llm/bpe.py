@@ -12,7 +12,7 @@ import json
 import os
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -39,17 +39,23 @@ class Bpe:
     """encode(texts) gives an array of ids for each text."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.size = self.library.get_vocab_size()
+        self.size = len({*spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", []))})
         self.ranks = self._ranks(spec)
         self.marked = None if self.ranks is not None else self._marked(spec)
 
+    @cached_property
+    def library(self):
+        """The library's own tokenizer, loaded where the quick way can't serve."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.encode_special_tokens = True
+        return out
+
     @staticmethod
     def _ranks(spec: dict):
         """A tiktoken encoding equal to the file, if there is one."""

@@ -10,15 +10,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Rows of an Arrow batch. Batches count rows, not bytes: at Spark's 10,000, whole texts make tens of
+#: MB outside the heap, several times for each task.
+BATCH_ROWS = 2000
 #: Rows that one numbering bucket aims at; buckets grow in number, not in size.
 ROWS_PER_BUCKET = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; others, whatever they are called, are left unread."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows of an Arrow batch to BATCH_ROWS, if they are more."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the checkpoint folder, which driver and executors share.
 
@@ -37,6 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: read again, it has no lineage to recompute."""
     spark = df.sparkSession
+    small_batches(spark)
     path = shared_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -63,6 +75,7 @@ def map_texts(
                 yield from work(part)
         pa.default_memory_pool().release_unused()  # workers live on, and the next task may need little
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

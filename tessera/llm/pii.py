@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, strings
+from .common import map_texts, small_batches, strings
 
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens of a segment, and characters of context around a sign, at most.
@@ -375,6 +375,7 @@ def redact(text: str, weights: dict[str, float]) -> str:
 
 def redacted(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df with the text's spans replaced; other columns as they are, a null text stays null."""
+    small_batches(df.sparkSession)
     weights = trained()
     at = df.columns.index(text_col)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_texts, strings, written
+from .common import cut, map_texts, small_batches, strings, written
 
 #: Bounds of the training sample: trusted positives, and unlabelled texts.
 MOST_POSITIVES, MOST_UNLABELLED = 20_000, 40_000
@@ -231,6 +231,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def accepted(df: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of df (doc_id, text, any others) that the model predicts to be good, as they are."""
+    small_batches(df.sparkSession)
     net = fit(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), labels)
     at = df.columns.index(text_col)
 
