@@ -29,7 +29,7 @@ from .common import written
 #: Rows of a block of candidates and of queries, about.
 CANDIDATES, QUERIES = 1 << 16, 1 << 12
 #: Points of a leaf, children of a node at most; children's centres are this part of its radius apart.
-LEAF, FANOUT, SHRINK = 48, 24, 0.7
+LEAF, FANOUT, SHRINK = 256, 24, 0.7
 
 
 class CoverTree:
