@@ -1,8 +1,8 @@
 """A training corpus from raw documents, in five stages over Parquet tables.
 
 Quality classifier: documents scored below its threshold go. Quality rules: lines that fail are
-removed and documents that fail, or lose too much, go. SimHash: the least id of each group of near
-copies stays. Personal data: spans are replaced by their kind. Packing: every document becomes
+removed and documents that fail, or lose too much, go. Near copies: the least id of each group of
+texts similar in their five-word shingles stays. Personal data: spans are replaced by their kind. Packing: every document becomes
 pieces in sequences of 2048 tokens; this last result has a row a piece.
 
 All but the last take and return the columns of documents, whatever their order; n_chars follows a
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from public_tokenizers import path
 
-from tessera.llm import packing, pii, quality, rules, simhash
+from tessera.llm import packing, pii, quality, rules, similar
 from tessera.llm.common import shared_dir, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -43,14 +43,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the least id.
 
-    Groups are by fingerprints of three-word shingles that differ in at most three bits. Rows that
+    Groups are what a Jaccard similarity of 0.8 or more of five-word shingles connects. Rows that
     share an id (or have none) are one document: the one with the least text stays.
     """
-    found = written(simhash.near_duplicates(docs, shingle=3, distance=3))
-    own = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own_id")).distinct()
+    keyed = docs.select("doc_id", "text", similar.node_of(F.col("text")).alias("node"))
+    rows = written(keyed.select("node", "doc_id"))
+    roots = rows.join(similar.groups(keyed.select("node", "text")), "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+    own = roots.groupBy("root").agg(F.min("doc_id").alias("own_id")).select("own_id").distinct()
     # Kept ids grow with the corpus: they are merged, never broadcast, at every size.
     kept = docs.join(own.hint("merge"), docs.doc_id.eqNullSafe(own.own_id), "left_semi")
-    if found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+    if rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         return kept
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     return kept.withColumn("_first", first).where("_first = 1").drop("_first")

@@ -442,3 +442,57 @@ def test_pipeline_of_odd_rows(spark, odd, none, tmp_path):
         df.write.parquet(f"{sf}/documents.parquet")
         spark.createDataFrame([(4, 1), (14, 1)], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
         assert cp.run(spark, sf).columns[0] == "doc_id"
+
+
+# Similar texts
+
+
+def brute_similar(texts):
+    """Groups of the distinct texts by shingles of five words, every pair compared."""
+    sets = []
+    for t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(texts)))
+    for k, own in enumerate(sets):
+        for j in range(k):
+            if 5 * len(own & sets[j]) >= 4 * len(own | sets[j]) and root[k] != root[j]:
+                root = [root[j] if r == root[k] else r for r in root]
+    return {frozenset(texts[k] for k in range(len(texts)) if root[k] == r) for r in set(root)}
+
+
+def near_texts():
+    """Texts around similarity 0.8, among them a group wide enough to need both rounds."""
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 4000, n)]
+    out = ["", " ", "one two", "One  two", "one two three"]
+    for many, size in ((60, 60), *((4, n) for n in (5, 8, 20, 45, 90, 300))):
+        stem = words(size)
+        for _ in range(many):
+            copy = list(stem)
+            for at in rng.choice(size, rng.integers(0, max(2, size // 25)), replace=False):
+                copy[at] = f"n{rng.integers(0, 10**6)}"
+            out.append(" ".join(copy + words(rng.integers(0, 4))))
+    return sorted(set(out + [" ".join(words(30)) for _ in range(40)]))
+
+
+def test_similar_groups_equal_brute_force(spark):
+    from tessera.llm import similar
+
+    texts = near_texts()
+    df = similar.written(spark.createDataFrame([(t,) for t in texts], "text string").select(similar.node_of(F.col("text")).alias("node"), "text"))
+    nodes, root = {r.node: r.text for r in df.collect()}, {r.node: r.root for r in similar.groups(df).collect()}
+    got = {}
+    for n, t in nodes.items():
+        got.setdefault(root.get(n, n), set()).add(t)
+    assert {frozenset(g) for g in got.values()} == brute_similar(texts)
+
+
+def test_pipeline_keeps_one_of_each_similar_group(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    texts = near_texts()
+    df = simhash.written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    want = {min(texts.index(t) for t in g) for g in brute_similar(texts)}
+    assert {r.doc_id for r in cp.near_duplicates(spark, df, sf_dir).collect()} == want
+    assert cp.near_duplicates(spark, df.where("false"), sf_dir).count() == 0
