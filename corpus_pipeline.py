@@ -16,7 +16,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from public_tokenizers import path
 
 from tessera.llm import packing, pii, quality, rules, similar
@@ -41,21 +40,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the least id.
+    """One row of each group: the least id (none comes last).
 
-    Groups are what a Jaccard similarity of 0.8 or more of five-word shingles connects. Rows that
-    share an id (or have none) are one document: the one with the least text stays.
+    Groups are what a Jaccard similarity of 0.8 or more of five-word shingles connects. A row is known
+    by its id and its text, so rows that share an id (or have none) and no group all stay; of rows equal
+    in both, the one with the least other columns does.
     """
-    keyed = docs.select("doc_id", "text", similar.node_of(F.col("text")).alias("node"))
-    rows = written(keyed.select("node", "doc_id"))
-    roots = rows.join(similar.groups(keyed.select("node", "text")), "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
-    own = roots.groupBy("root").agg(F.min("doc_id").alias("own_id")).select("own_id").distinct()
-    # Kept ids grow with the corpus: they are merged, never broadcast, at every size.
-    kept = docs.join(own.hint("merge"), docs.doc_id.eqNullSafe(own.own_id), "left_semi")
-    if rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        return kept
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("_first", first).where("_first = 1").drop("_first")
+    keyed = docs.withColumn("_node", similar.node_of(F.col("text")))
+    rows = written(keyed.groupBy("_node", "doc_id").agg(F.count(F.lit(1)).alias("n")))
+    found = similar.groups(keyed.select(F.col("_node").alias("node"), "text"))
+    rooted = rows.join(found.withColumnRenamed("node", "_node"), "_node", "left")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_node", "n")).alias("own")
+    own = written(rooted.groupBy(F.coalesce("root", "_node").alias("root")).agg(least).select("own.*"))
+    # Kept rows grow with the corpus: they are merged, never broadcast, at every size.
+    same = keyed["_node"].eqNullSafe(own["_node"]) & keyed["doc_id"].eqNullSafe(own["doc_id"])
+    kept = keyed.join(own.hint("merge"), same, "left_semi")
+    if own.where("n > 1").isEmpty():
+        return kept.select(*docs.columns)
+    one = F.min(F.struct(*docs.columns)).alias("row")
+    return kept.groupBy("_node", "doc_id").agg(one).select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

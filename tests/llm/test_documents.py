@@ -496,3 +496,14 @@ def test_pipeline_keeps_one_of_each_similar_group(spark, sf_dir):
     want = {min(texts.index(t) for t in g) for g in brute_similar(texts)}
     assert {r.doc_id for r in cp.near_duplicates(spark, df, sf_dir).collect()} == want
     assert cp.near_duplicates(spark, df.where("false"), sf_dir).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none_are_not_one_document(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    rng = np.random.default_rng(4)
+    a, b, c, d, e = (" ".join(f"w{x}" for x in rng.integers(0, 9999, 60)) for _ in range(5))
+    rows = [(None, a, 1), (None, b, 1), (None, c, 2), (None, c, 1), (7, d, 1), (8, d + " end", 1), (8, e, 1), (8, e, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = Counter(tuple(r) for r in cp.near_duplicates(spark, df, sf_dir).collect())
+    assert got == Counter([(None, a, 1), (None, b, 1), (None, c, 1), (7, d, 1), (8, e, 1)])
