@@ -3,7 +3,7 @@
 Byte-level files whose merges follow their ids are run as ranks by tiktoken. So are files that
 lower-case and mark the ends of words, for Latin-1 text: a capital, which such text no longer has,
 stands for the mark. Anything else, and any text that the quick way refuses, goes through the library
-itself. Strings of special tokens in a text are ordinary text.
+itself. So does a text that holds the content of an added token, which the library gives its own id.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.size = len({*spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", []))})
+        #: Contents of added tokens, in lower case: where files lower-case, such text is matched too.
+        self.added = [t["content"].lower() for t in spec.get("added_tokens", [])]
         self.ranks = self._ranks(spec)
         self.marked = None if self.ranks is not None else self._marked(spec)
 
@@ -52,9 +54,7 @@ class Bpe:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        out = Tokenizer.from_file(self.path)
-        out.encode_special_tokens = True
-        return out
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _ranks(spec: dict):
@@ -109,9 +109,14 @@ class Bpe:
         return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.ranks is not None:
-            return [self._ranked(t) for t in texts]
-        return [self._ended(t) for t in texts] if self.marked else self._plain(texts)
+        if self.ranks is None and self.marked is None:
+            return self._plain(texts)
+        quick = self._ended if self.ranks is None else self._ranked
+        return [self._plain([t])[0] if self._adds(t) else quick(t) for t in texts]
+
+    def _adds(self, text: str) -> bool:
+        lower = text.lower()
+        return any(c in lower for c in self.added)
 
     def _ranked(self, text: str) -> np.ndarray:
         try:

@@ -75,6 +75,21 @@ def test_quick_encoding_equals_the_library(name, docs):
     assert [x.tolist() for x in own.encode(texts)] == want
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_equal_the_untouched_library(name):
+    import json
+
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(path(name)), Bpe(path(name))
+    with open(path(name), encoding="utf-8") as f:
+        marks = [t["content"] for t in json.load(f)["added_tokens"]]
+    texts = [t for m in marks for t in (m, f"x {m} y", f"X{m}{m} é\n", f"日 {m.upper()} {m[:-1]}", f"{m.upper()} a", f"a {m.title()}b")] + ["plain <| text |>"]
+    got = [x.tolist() for x in own.encode(texts)]
+    assert marks and got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert any(library.token_to_id(m) in ids for m in marks for ids in got)
+
+
 def check_packing(rows, texts, capacity=2048):
     own = Bpe(path("byte_bpe_50k.json"))
     by_doc, by_seq = {}, {}
