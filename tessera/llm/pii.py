@@ -6,7 +6,7 @@ a candidate as a whole (its shape, digits, separators, check digit, the words be
 base pattern matches it) score each label, and a dynamic program over segments of bounded length
 chooses boundaries and types jointly. What it labels beside the base spans, overlapping none, is
 added: phone numbers without a country code, spelled-out e-mails, cards and addresses in other
-punctuation. Text without such a sign can hold no entity, so windows lose nothing.
+punctuation. A segment's shape is a feature and leaves none out. Text without such a sign can hold no entity, so windows lose nothing.
 
 Weights maximise the conditional likelihood of sentences generated here; training is deterministic
 and takes a few seconds once on the driver.
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import map_texts, small_batches, strings
 
 KINDS = ("email", "ip", "card", "phone")
+#: The weight of each feature under each kind.
+Weights = dict[str, dict[str, float]]
 #: Tokens of a segment, and characters of context around a sign, at most.
 MOST_TOKENS, AROUND = 24, 48
 
@@ -125,32 +127,47 @@ def shape(piece: str) -> str:
     return "digits" if 12 <= n <= 19 and CARD.fullmatch(piece) else "other"
 
 
-#: Kinds that each shape leaves to the model, and how many digits a segment without letters holds.
-OPEN = {
-    "email": ("email",), "spelled": ("email",), "ip": ("ip", "phone"), "spelled ip": ("ip",), "international": ("phone", "card"),
-    "national": ("phone", "card"), "grouped": ("card", "phone"), "digits": ("card", "phone"), "other": (),
-}
 LEAST_DIGITS, MOST_DIGITS = 4, 20
+RUN = re.compile(r"[0-9]+")
 
 
-def features(text: str, a: int, b: int, before: str, kind: str, looks: str) -> list[str]:
-    """Names of what holds for the segment text[a:b] under a kind; before: lower-case words ahead."""
+def features(text: str, a: int, b: int) -> list[str]:
+    """Names of what holds for the segment text[a:b] under any kind, as many for each segment."""
     piece = text[a:b]
-    digits = "".join(c for c in piece if c in "0123456789")
+    looks = shape(piece)
+    runs = RUN.findall(piece)
+    digits = "".join(runs)
     n = len(digits)
+    lettered = any(c.isalpha() for c in piece)
+    marks = "".join(sorted({c for c in piece if not c.isalnum()}))
+    plain = not lettered and "@" not in piece
     names = [
         "any",
         f"shape {looks}",
         f"digits {n if n < 20 else 20}",
         f"luhn {n >= 13 and luhn(digits)}",
-        f"cue {any(w in before for w in CUES[kind])}",
         f"left {text[a - 1 : a].isalnum()}",
         f"right {text[b : b + 1].isalnum()}",
-        f"more {text[b : b + 1] in ('.', '-', ' ') and text[b + 1 : b + 2].isdigit()}",
-        f"less {text[a - 1 : a] in ('.', '-', '+') and a > 0}",
+        f"more {text[b : b + 1] in ('.', '-', ' ', '/') and text[b + 1 : b + 2].isdigit()}",
+        f"less {text[a - 1 : a] in ('.', '-', '+', '/') and a > 0}",
+        f"behind {a > 1 and text[a - 1] == ' ' and text[a - 2].isdigit()}",
         f"odd {not (piece[-1].isalnum() and (piece[0].isalnum() or piece[0] in '+('))}",
+        f"runs {'-'.join(str(len(r)) for r in runs) if plain else 'lettered'}",
+        f"groups {min(len(runs), 7)} {plain}",
+        f"marks {marks if plain else 'lettered'}",
+        f"signs {'@' in piece} {lettered}",
+        f"spaced {', ' in piece or '  ' in piece or '. ' in piece}",
+        f"zero {plain and digits[:1] == '0'} {min(n, 12)}",
+        f"longest {max(map(len, runs), default=0) if plain else 'lettered'}",
+        f"card {n >= 13 and luhn(digits) and plain} {max(map(len, runs), default=0) >= 4} {len(set(marks)) < 2}",
     ]
-    return [f"{kind}: {x}" for x in names]
+    return names
+
+
+def cued(before: str, kind: str, names: list[str]) -> list[str]:
+    """Names of the words ahead, alone and with the digits; before: lower-case words ahead."""
+    cue = any(w in before for w in CUES[kind])
+    return [f"cue {cue}", f"cue {cue} {names[2]}", f"cue {cue} {names[11]}"]
 
 
 def _segments(text: str, tokens: list[tuple[int, int]]):
@@ -179,16 +196,16 @@ def _segments(text: str, tokens: list[tuple[int, int]]):
 
 
 def _lattice(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, str, list[str]]]:
-    """Candidates with features, one for each kind that its shape leaves open."""
+    """Every segment as a candidate of each kind, with features."""
     out = []
     for i, j in _segments(text, tokens):
         a, b = tokens[i][0], tokens[j - 1][1]
         if text[a - 1 : a].isalnum() and a or text[b : b + 1].isalnum():  # inside a word or a key
             continue
-        looks = shape(text[a:b])
+        names = features(text, a, b)
         before = text[max(0, a - 24) : a].lower()
-        for kind in OPEN[looks]:
-            out.append((i, j, kind, features(text, a, b, before, kind, looks)))
+        for kind in KINDS:
+            out.append((i, j, kind, names + cued(before, kind, names)))
     return out
 
 
@@ -196,12 +213,13 @@ def tokens_of(text: str, a: int, b: int) -> list[tuple[int, int]]:
     return [m.span() for m in TOKEN.finditer(text, a, b)]
 
 
-def decode(text: str, a: int, b: int, weights: dict[str, float]) -> list[tuple[str, int, int]]:
+def decode(text: str, a: int, b: int, weights: Weights) -> list[tuple[str, int, int]]:
     """The best segmentation of text[a:b]: (kind, start, end) of its entities."""
     tokens = tokens_of(text, a, b)
     by_end: dict[int, list] = {}
     for i, j, kind, names in _lattice(text, tokens):
-        score = sum(weights.get(x, 0.0) for x in names)
+        own = weights[kind]
+        score = sum([own.get(x, 0.0) for x in names])
         if score > 0:
             by_end.setdefault(j, []).append((i, kind, score))
     best, back = [0.0] * (len(tokens) + 1), [None] * (len(tokens) + 1)
@@ -221,7 +239,7 @@ def decode(text: str, a: int, b: int, weights: dict[str, float]) -> list[tuple[s
     return out[::-1]
 
 
-def _examples(n: int = 500, seed: int = 11) -> list[tuple[str, list[tuple[str, int, int]]]]:
+def _examples(n: int = 1200, seed: int = 11) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """Sentences with their entities, and sentences with numbers that are none."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice(("an", "er", "th", "on", "re", "la", "de", "ti", "sch", "ue")) for _ in range(rng.randint(1, 4)))
@@ -231,12 +249,18 @@ def _examples(n: int = 500, seed: int = 11) -> list[tuple[str, list[tuple[str, i
         stem = digits(rng.choice((12, 14, 15, 15, 15)))
         return next(stem + c for c in "0123456789" if luhn(stem + c))
 
-    def grouped():
-        c = card()
-        while len(c) != 16:
-            c = card()
-        mark = rng.choice(" -._")
-        return mark.join(c[k : k + 4] for k in range(0, 16, 4))
+    def cut_up(c, sizes, mark):
+        ends = [sum(sizes[:k]) for k in range(len(sizes) + 1)]
+        parts = [c[p:q] for p, q in zip(ends, ends[1:], strict=False)]
+        return "".join(p + (mark or rng.choice(" -./")) for p in parts[:-1]) + parts[-1]
+
+    layouts = {13: [(4, 4, 5), (1, 4, 4, 4)], 15: [(4, 6, 5), (5, 5, 5), (4, 4, 4, 3)], 16: [(4, 4, 4, 4), (4, 4, 4, 4), (8, 8), (6, 10)]}
+
+    def grouped(good=True):
+        c = card() if good else wrong()
+        while len(c) not in layouts:
+            c = card() if good else wrong()
+        return cut_up(c, rng.choice(layouts[len(c)]), rng.choice((" ", "-", ".", "_", "/", "")))
 
     def wrong():
         while luhn(d := digits(rng.choice((13, 14, 15, 16)))):
@@ -244,13 +268,19 @@ def _examples(n: int = 500, seed: int = 11) -> list[tuple[str, list[tuple[str, i
         return d
 
     octets = lambda: [str(rng.randint(0, 255)) for _ in range(4)]
+    part = lambda k: "0" + digits(k - 1)
+    national = [lambda: f"{part(3)} {digits(4)} {digits(4)}", lambda: f"{part(4)}{rng.choice('/- ')}{digits(rng.randint(6, 8))}", lambda: f"{part(5)} {digits(6)}", lambda: rng.choice(". ").join((part(2), digits(2), digits(2), digits(2), digits(2))), lambda: f"({part(rng.randint(3, 5))}) {digits(3)} {digits(4)}", *[lambda: f"{digits(3)}-{digits(4)}"] * 3, lambda: rng.choice(". ").join((digits(3), digits(3), digits(4))), lambda: f"1-{digits(3)}-{digits(3)}-{digits(4)}"]
+    year = lambda: str(rng.randint(1800, 2099))
+    month = lambda: f"{rng.randint(1, 28):02}"
     make = {
         "email": [lambda: f"{word()}.{digits(2)}@{word()}{digits(1)}.example.com", lambda: f"{word()}_{word()}@{word()}.org", lambda: f"{word()}{rng.choice((' [at] ', ' (at) ', '[at]'))}{word()}{rng.choice((' [dot] ', ' (dot) ', '.'))}com"],
         "ip": [lambda: ".".join(octets()), lambda: "[.]".join(octets())],
         "card": [card, grouped],
-        "phone": [lambda: f"+{rng.randint(1, 99)} ({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"+{digits(11)}", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", lambda: f"+{digits(2)} {digits(3)} {digits(4)} {digits(3)}"],
+        "phone": [lambda: f"+{rng.randint(1, 99)} ({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"+{digits(11)}", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", lambda: f"+{digits(2)} {digits(3)} {digits(4)} {digits(3)}", *national, *national],
     }
+    announced = [lambda: f"{digits(3)}.{digits(7)}", lambda: f"{digits(3)} {digits(7)}", lambda: digits(10), lambda: f"{digits(3)} {digits(4)}", lambda: f"{digits(4)} {digits(4)}", lambda: f"{digits(5)} {digits(5)}", lambda: f"{digits(3)}/{digits(3)}-{digits(4)}", lambda: f"{digits(2)} {digits(2)} {digits(2)} {digits(2)}"]
     plain = [wrong, lambda: digits(rng.randint(1, 12)), lambda: f"{digits(1)}.{digits(2)}", lambda: f"{digits(4)}-{digits(2)}-{digits(2)}", lambda: f"{digits(3)} {digits(3)}", lambda: f"{digits(2)}.{digits(1)}.{digits(2)}", lambda: f"{digits(1)},{digits(3)},{digits(3)}", lambda: f"{rng.randint(256, 999)}.{digits(3)}.{digits(2)}.{digits(2)}", lambda: f"+{digits(3)}", lambda: f"{digits(2)}:{digits(2)}", lambda: f"{word()}@", lambda: f"at {digits(2)}"]
+    plain += [lambda: grouped(False), lambda: f"{month()}/{month()}/{year()}", lambda: f"{month()}.{month()}.{year()}", lambda: f"{year()}-{month()}-{month()}", lambda: f"{year()}-{year()}", lambda: f"{year()} {year()}", lambda: f"{digits(3)}.{digits(rng.randint(1, 7))}", lambda: f"{rng.randint(1, 99)}.{digits(rng.randint(3, 7))}", lambda: f"{month()}:{month()}:{month()}", lambda: " ".join(digits(rng.randint(1, 2)) for _ in range(rng.randint(3, 8))), lambda: " ".join(digits(rng.randint(3, 5)) for _ in range(rng.randint(2, 4))), lambda: ", ".join(digits(rng.randint(1, 4)) for _ in range(rng.randint(2, 6))), lambda: f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", lambda: f"{digits(3)}/{digits(4)}", lambda: f"{digits(2)}-{digits(2)}", lambda: f"{digits(3)}-{digits(3)}", lambda: f"{rng.randint(1, 9)}.{digits(3)}.{digits(3)}", lambda: f"{year()}-{month()}-{month()} {month()}:{month()}", lambda: f"{word()}-{digits(4)}", lambda: f"{digits(5)}-{digits(4)}", lambda: f"{rng.randint(1, 999)},{digits(3)},{digits(3)}.{digits(2)}", lambda: f"{rng.randint(1, 999)},{digits(3)}.{digits(2)}"]
     out = []
     for _ in range(n):
         text, spans = "", []
@@ -258,9 +288,10 @@ def _examples(n: int = 500, seed: int = 11) -> list[tuple[str, list[tuple[str, i
             text += " ".join(word() for _ in range(rng.randint(1, 5))) + " "
             if rng.random() < 0.5:
                 kind = rng.choice(KINDS)
-                if rng.random() < 0.5:
+                told = rng.random() < 0.5
+                if told:
                     text += rng.choice(CUES[kind]) + " "
-                value = rng.choice(make[kind])()
+                value = rng.choice(make[kind] + announced if told and kind == "phone" else make[kind])()
                 spans.append((kind, len(text), len(text) + len(value)))
             else:
                 value = rng.choice(plain)()
@@ -270,36 +301,52 @@ def _examples(n: int = 500, seed: int = 11) -> list[tuple[str, list[tuple[str, i
 
 
 @lru_cache(1)
-def trained(rounds: int = 40, rate: float = 0.5) -> dict[str, float]:
+def trained(rounds: int = 40, rate: float = 0.5) -> Weights:
     """Weights of greatest conditional likelihood, by gradient ascent over forward-backward sums."""
-    data, names = [], {}
-    for text, spans in _examples():
+    data, names, found, gold = [], {}, [], []
+    for text, spans_ in _examples():
         tokens = tokens_of(text, 0, len(text))
-        gold = {(a, b, k) for k, a, b in spans}
-        rows = []
-        for i, j, kind, found in _lattice(text, tokens):
-            ids = [names.setdefault(x, len(names)) for x in found]
-            rows.append((i, j, (tokens[i][0], tokens[j - 1][1], kind) in gold, ids))
-        data.append((len(tokens), rows))
+        right = {(a, b, k) for k, a, b in spans_}
+        ends, starts, at = {}, {}, len(found)
+        for i, j, kind, own in _lattice(text, tokens):
+            ends.setdefault(j, []).append((len(found), i)), starts.setdefault(i, []).append((len(found), j))
+            found.append([names.setdefault((kind, x), len(names)) for x in own])
+            gold.append((tokens[i][0], tokens[j - 1][1], kind) in right)
+        pairs = lambda d: [(k, *(np.array(x) for x in zip(*v, strict=True))) for k, v in sorted(d.items())]
+        data.append((len(tokens), at, len(found), pairs(ends), pairs(starts)[::-1]))
+    ids, gold = np.array(found, np.int64), np.array(gold, float)
     w, square = np.zeros(len(names)), np.full(len(names), 1e-8)
     for _ in range(rounds):
-        slope = -1e-3 * w * len(data)
-        for n, rows in data:
-            scores = [float(w[ids].sum()) for *_, ids in rows]
-            ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
-            ends, starts = {}, {}
-            for r, (i, j, _, _) in enumerate(rows):
-                ends.setdefault(j, []).append(r), starts.setdefault(i, []).append(r)
-            for j in range(1, n + 1):
-                ahead[j] = float(np.logaddexp.reduce([ahead[j - 1], *(ahead[rows[r][0]] + scores[r] for r in ends.get(j, ()))])) if j in ends else ahead[j - 1]
-            for i in range(n - 1, -1, -1):
-                behind[i] = float(np.logaddexp.reduce([behind[i + 1], *(behind[rows[r][1]] + scores[r] for r in starts.get(i, ()))])) if i in starts else behind[i + 1]
-            for (i, j, right, ids), s in zip(rows, scores, strict=True):
-                slope[ids] += right - np.exp(min(0.0, ahead[i] + s + behind[j] - ahead[n]))
-        slope /= len(data)
+        scores, chance = w[ids].sum(1), np.zeros(len(ids))
+        for n, first, last, ends, starts in data:
+            ahead, behind, done = np.zeros(n + 1), np.zeros(n + 1), 0
+            for j, rows, i in ends:
+                ahead[done + 1 : j] = ahead[done]
+                ahead[j] = _sum(ahead[j - 1], ahead[i] + scores[rows])
+                done = j
+            ahead[done + 1 :] = ahead[done]
+            done = n
+            for i, rows, j in starts:
+                behind[i + 1 : done] = behind[done]
+                behind[i] = _sum(behind[i + 1], behind[j] + scores[rows])
+                done = i
+            for _, rows, i in ends:
+                chance[rows] = ahead[i] + scores[rows] - ahead[n]
+            for _, rows, j in starts:
+                chance[rows] += behind[j]
+        slope = -1e-3 * w + np.bincount(ids.ravel(), np.repeat(gold - np.exp(np.minimum(0.0, chance)), ids.shape[1]), len(w)) / len(data)
         square += slope * slope
         w += rate * slope / np.sqrt(square)
-    return {x: float(w[i]) for x, i in names.items()}
+    out: Weights = {k: {} for k in KINDS}
+    for (kind, x), i in names.items():
+        out[kind][x] = float(w[i])
+    return out
+
+
+def _sum(one: float, more: np.ndarray) -> float:
+    """The logarithm of the sum of exponentials."""
+    top = max(one, more.max())
+    return top + np.log(np.exp(one - top) + np.exp(more - top).sum())
 
 
 def _windows(text: str) -> list[tuple[int, int]]:
@@ -313,7 +360,7 @@ def _windows(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def find(text: str, weights: dict[str, float]) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int]]]:
+def find(text: str, weights: Weights) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int]]]:
     """Base spans by kind, and the spans that the model adds."""
     kinds = base(text)
     taken = joined(s for v in kinds.values() for s in v)
@@ -359,7 +406,7 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return map_texts(rows, start, "doc_id long, found array<struct<kind:string,start:bigint,end:bigint,base:boolean>>")
 
 
-def redact(text: str, weights: dict[str, float]) -> str:
+def redact(text: str, weights: Weights) -> str:
     """The text with each span, joined where they overlap, replaced by the kind of its first."""
     kinds, added = find(text, weights)
     every = sorted([(a, b, k) for k, v in kinds.items() for a, b in v] + [(a, b, k) for k, a, b in added])

@@ -169,6 +169,24 @@ def test_clean_text_is_left_alone():
         assert pii.find(text, pii.trained())[1] == [] and (text.startswith("12345") or pii.redact(text, pii.trained()) == text)
 
 
+@pytest.mark.parametrize(
+    "text,kind,value",
+    [
+        ("call 020 7946 0958 now", "phone", "020 7946 0958"), ("tel 0171/2345678 or", "phone", "0171/2345678"), ("phone 614.5558001 please", "phone", "614.5558001"),
+        ("the number is 555-0142 there", "phone", "555-0142"), ("card 3782.822463.10005 was", "card", "3782.822463.10005"), ("fax 01 42 68 53 00 today", "phone", "01 42 68 53 00"),
+    ],
+)
+def test_the_model_adds_spans_of_other_shapes(text, kind, value):
+    at = text.index(value)
+    assert pii.find(text, pii.trained())[1] == [(kind, at, at + len(value))]
+    assert pii.redact(text, pii.trained()) == text.replace(value, f"<{kind}>")
+
+
+def test_numbers_of_other_kinds_are_left_alone():
+    for text in ("from 1999-2004 on", "on 12/05/2020 and 2020/11/03", "a ratio of 51.5074 to 0.1278", "rows 1000 2000 3000 were read", "sum 1,234,567.89 in all", "at 10:20:30 on 2021-03-04", "see 978-3-16-148410-0 there", "card 3782.822463.10006 was", "pages 120-135"):
+        assert pii.find(text, pii.trained())[1] == [], text
+
+
 def test_odd_rows_are_searched(spark, odd, none):
     rows = pii.spans(odd).collect()
     assert len(rows) == odd.count() and {s.kind for r in rows for s in r.found if s.base} == set(pii.KINDS)
