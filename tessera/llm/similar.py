@@ -5,7 +5,7 @@ one of the first n - ceil(0.8 n) + 1 shingles of either, in any one order of all
 prefixes are joined, and no such pair is missed. Shingles that are frequent in a sample come last in
 the order; the sample only makes groups smaller.
 
-Nodes that share a shingle of their prefixes are a group. Sizes and 512 parity bits of a set bound its
+Nodes that share a shingle of their prefixes are a group. Sizes and 2048 parity bits of a set bound its
 difference to another from below, so pairs beyond the bound are left out, and no others. Of each group
 a forest of the remaining pairs is compared shingle by shingle; then every pair that the forests did
 not connect is. All similar pairs are thus within components, without listing all pairs of a group.
@@ -21,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_texts, strings, written
+from .common import cut, discard, map_texts, strings, written
 from .components import components
 
 #: Words of a shingle; similarity is 4 / 5 throughout.
 WORDS = 5
 #: Texts whose shingles are counted for the order, about, and how many frequent shingles are kept.
 SAMPLE, FREQUENT = 20_000, 100_000
-PARITY = 512
+#: Bits: sets of up to twice as many shingles that have little in common are told apart by them.
+PARITY = 2048
 SEED = 42
 
 
@@ -109,12 +110,16 @@ def _profiles(texts: DataFrame) -> DataFrame:
     return written(map_texts(texts, start, "node long, size int, parity binary, tokens array<bigint>"))
 
 
-def _groups(profiles: DataFrame) -> DataFrame:
+def _groups(texts: DataFrame) -> DataFrame:
     """(token, members): the nodes, two at least, whose prefixes hold a shingle."""
+    profiles = _profiles(texts)
     met = profiles.select(F.explode("tokens").alias("token"), "node").groupBy("token").agg(F.collect_set("node").alias("nodes")).where(F.size("nodes") > 1)
     single = written(met.select("token", F.explode("nodes").alias("node")))
     facts = profiles.select("node", "size", "parity").join(single.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    return written(single.join(facts, "node"))
+    out = written(single.join(facts, "node"))
+    discard(profiles)
+    discard(single)
+    return out
 
 
 def _pairs(members: DataFrame, forest: bool) -> DataFrame:
@@ -190,16 +195,20 @@ def _sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def links(texts: DataFrame) -> DataFrame:
     """(a, b) of similar nodes, enough to connect all such. texts: (node, text), repeats allowed."""
-    members = _groups(_profiles(texts))
+    members = _groups(texts)
     first = written(_pairs(members, True))
-    sets = _sets(texts, members.select("node").distinct())
+    # A node of any pair within the bound has a link in a forest.
+    sets = _sets(texts, first.select(F.col("a").alias("node")).union(first.select("b")).distinct())
     found = _verified(first, sets)
     labels = components(found).select(F.col("u").alias("node"), F.col("root").alias("label"))
     # A group of two has had its only pair compared.
     wide = members.join(members.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("token"), "token", "left_semi")
     labelled = wide.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rest = written(_pairs(labelled, False).join(first, ["a", "b"], "left_anti"))
-    return found.unionByName(_verified(rest, sets))
+    out = found.unionByName(_verified(rest, sets))
+    for table in (members, first, sets, rest):
+        discard(table)
+    return out
 
 
 def groups(texts: DataFrame) -> DataFrame:
