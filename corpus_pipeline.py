@@ -46,19 +46,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     by its id and its text, so rows that share an id (or have none) and no group all stay; of rows equal
     in both, the one with the least other columns does.
     """
-    keyed = docs.withColumn("_node", similar.node_of(F.col("text")))
-    rows = written(keyed.groupBy("_node", "doc_id").agg(F.count(F.lit(1)).alias("n")))
-    found = similar.groups(keyed.select(F.col("_node").alias("node"), "text"))
-    rooted = rows.join(found.withColumnRenamed("node", "_node"), "_node", "left")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_node", "n")).alias("own")
-    own = written(rooted.groupBy(F.coalesce("root", "_node").alias("root")).agg(least).select("own.*"))
-    # Kept rows grow with the corpus: they are merged, never broadcast, at every size.
-    same = keyed["_node"].eqNullSafe(own["_node"]) & keyed["doc_id"].eqNullSafe(own["doc_id"])
-    kept = keyed.join(own.hint("merge"), same, "left_semi")
-    if own.where("n > 1").isEmpty():
-        return kept.select(*docs.columns)
-    one = F.min(F.struct(*docs.columns)).alias("row")
-    return kept.groupBy("_node", "doc_id").agg(one).select("row.*")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    keyed = docs.withColumn("_node", similar.node_of(F.col("text"))).withColumn("_id", name)
+    nodes = written(keyed.groupBy("_node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id")).alias("least")))
+    found = similar.groups(keyed.select(F.col("_node").alias("node"), "text")).withColumnRenamed("node", "_node")
+    least = F.min(F.struct("least", "_node")).alias("own")
+    own = nodes.join(found, "_node", "left").groupBy(F.coalesce("root", "_node").alias("root")).agg(least)
+    own = written(own.select("own._node", F.col("own.least._id").alias("_id")))
+    # Texts move once, rows equal in id and text merged before. Kept rows grow with the corpus: they
+    # are merged, never broadcast, at every size.
+    rows = keyed.groupBy("_node", "_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return rows.join(own.hint("merge"), ["_node", "_id"], "left_semi").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,24 +34,33 @@ MOST = 2048
 ROWS = 1 << 20
 
 
-def fingerprint(text: str, shingle: int = 3) -> int:
-    """The unsigned fingerprint of a text."""
+def hashes(text: str, shingle: int = 3) -> np.ndarray:
+    """XXH64 of every shingle of a text, repeats included; none without a word."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
     last = ends[-1:] if len(words) < shingle else ends[shingle - 1 :]
-    hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)], "<u8")
+    return np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)], np.uint64)
+
+
+def majority(found: np.ndarray) -> int:
+    """The unsigned number of the bits that are set in over half the hashes."""
     counts = np.zeros(BITS, np.int64)
-    for at in range(0, n, 1 << 14):
-        part = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
+    for at in range(0, len(found), 1 << 14):
+        part = found[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * counts > len(found), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, shingle: int = 3) -> int:
+    """The unsigned fingerprint of a text."""
+    return majority(hashes(text, shingle))
 
 
 def fingerprints(df: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

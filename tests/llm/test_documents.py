@@ -442,8 +442,8 @@ def test_pipeline_stages(spark, sf_dir, docs):
         if name == "quality rules":
             assert set(new) == {r.doc_id for r in rules.judge(before).where("kept").collect()}
         if name == "near duplicates":
-            groups = brute_components(sorted((i, brute_fingerprint(t)) for i, t in old.items()))
-            assert set(new) == set(groups.values())
+            least = [min(i for i, t in old.items() if t in g) for g in brute_similar(sorted(set(old.values())))]
+            assert set(new) == set(least)
         if name == "personal data":
             assert set(new) == set(old) and all(new[i] == pii.redact(old[i], pii.trained()) for i in old)
             assert all(r.n_chars == len(r.text) for r in now.collect())
@@ -494,9 +494,11 @@ def near_texts():
     return sorted(set(out + [" ".join(words(30)) for _ in range(40)]))
 
 
-def test_similar_groups_equal_brute_force(spark):
+@pytest.mark.parametrize("most", [2048, 6])
+def test_similar_groups_equal_brute_force(spark, monkeypatch, most):
     from tessera.llm import similar
 
+    monkeypatch.setattr(similar, "MOST", most)  # 6: most groups are dealt to several blocks
     texts = near_texts()
     df = similar.written(spark.createDataFrame([(t,) for t in texts], "text string").select(similar.node_of(F.col("text")).alias("node"), "text"))
     nodes, root = {r.node: r.text for r in df.collect()}, {r.node: r.root for r in similar.groups(df).collect()}
@@ -506,6 +508,21 @@ def test_similar_groups_equal_brute_force(spark):
     assert {frozenset(g) for g in got.values()} == brute_similar(texts)
 
 
+def test_parity_bounds_differences():
+    from tessera.llm import similar
+
+    rng = np.random.default_rng(9)
+    for size in (1, 50, 1000, 1500, 5000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(size * 0.9)], rng.integers(0, 2**63, size // 12).astype(np.uint64)]))
+        block = similar._Block(np.arange(2), np.array([len(a), len(b)]), [similar.parity(a), similar.parity(b)], np.arange(2))
+        found = len(block.near(0, block, np.array([1])))
+        assert found >= similar.similar(a, b)
+        apart = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        other = similar._Block(np.arange(2), np.array([len(a), len(apart)]), [similar.parity(a), similar.parity(apart)], np.arange(2))
+        assert not len(other.near(0, other, np.array([1])))
+
+
 def test_pipeline_keeps_one_of_each_similar_group(spark, sf_dir):
     import corpus_pipeline as cp
 
