@@ -16,14 +16,14 @@ DROPPED_KEYS = (
     "fresno_APN", "fresno_lot_width", "fresno_lot_depth", "fresno_lot_area", "fresno_TX_area_CD", "geonames_id",
     "gnis", "GoeVB:id", "gtfs_id", "IBNR", "ID:tobwen", "ID_SLH_IMPORT", "idee:name", "import", "import_uuid",
     "koatuu", "linz2osm:objectid", "lot_description", "lojic:bgnum", "mvdgis:padron", "mvdgis:cod_nombre",
-    "nycdoitt:bin", "odbl", "onkz", "Ortskennzahl", "project:eurosha_2012", "ref:bag", "ref:bagid", "ref:INSEE",
-    "ref:SIREN", "ref:UrbIS", "ref:old", "SK53_bulk:load", "source_ref", "statscan:rbuid", "start_date",
+    "nycdoitt:bin", "odbl", "onkz", "project:eurosha_2012", "ref:bag", "ref:bagid", "ref:INSEE",
+    "ref:SIREN", "ref:UrbIS", "ref:old", "SK53_bulk:load", "source_ref", "statscan:rbuid",
     "tiger 2010:way_id", "tiger.source:tlid", "tiger name", "tiger_base", "tiger_name_type", "tiger-reviewed",
     "uic_ref", "uir_adr:ADRESA_KOD", "us.fo:Adressutal", "usar_addr:edit_date",
 )
 DROPPED_PREFIXES = (
     "AND_", "AND:", "bag:", "b5m:", "bak:", "building:ruian:", "canvec:",
-    "Canadian database by Natural Resources Canada.", "cladr:", "CLC:", "comment:", "dcgis:", "description:",
+    "cladr:", "CLC:", "comment:", "dcgis:", "description:",
     "dibavod:", "educamadrid:", "ewmapa:", "fixme:", "FIXME:", "geobase:", "GeoBaseNHN:", "gns_", "gns:", "GNS:",
     "GNIS:", "gnis:", "gst:", "ideewfs:", "it:fvg:", "it:lo:", "it:pv:", "kms:", "KSJ2:", "lbcs:", "LINZ:",
     "LINZ2OSM:", "linz:", "maaamet:", "massgis:", "mvdgis:", "naptan:", "ngbe:", "NHD_", "NHD-", "NHD:", "nhd_",

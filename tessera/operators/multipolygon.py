@@ -8,7 +8,9 @@ to (x, y) on the way out; outer rings run counter-clockwise there, holes clockwi
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +29,6 @@ class Ring:
     points: list
     ways: list[int]
     holes: list[Ring] = field(default_factory=list)
-    children: list[Ring] = field(default_factory=list)
 
     @property
     def area(self) -> float:
@@ -48,82 +49,134 @@ def merge(a: Ring, b: Ring, how: overlay.Relation) -> list[Ring] | None:
         found = overlay.union(a.points, b.points)
         if sum(overlay.signed_area(r) > 0 for r in found) != 1:
             return None
-    ways = a.ways + [w for w in b.ways if w not in a.ways]
+    ways = list(dict.fromkeys([*a.ways, *b.ways]))
     return [Ring(r, list(ways)) for r in found if overlay.signed_area(r) != 0]
 
 
-def join_adjacent(rings: list[Ring]) -> tuple[list[Ring], list[str]]:
-    """Rings of which none overlap or share an edge, and what could not be done."""
-    rings, warnings = sorted(rings, key=Ring.key), []
-    stuck: set[tuple[int, int]] = set()
-    at = 0
-    while at < len(rings):
-        joined = False
-        for other in range(at + 1, len(rings)):
-            a, b = rings[at], rings[other]
-            if (id(a), id(b)) in stuck or not overlay.boxes_meet(a.points, b.points):
+def meeting(rings: list[Ring]) -> list[tuple[int, int]]:
+    """Pairs of rings (by place) whose bounds meet, from an order by their left ends."""
+    if len(rings) < 2:
+        return []
+    box = np.array([[f(float(p[k]) for p in r.points) for k in (0, 1) for f in (min, max)] for r in rings])
+    order = np.argsort(box[:, 0], kind="stable")
+    box = box[order]
+    last = np.searchsorted(box[:, 0], box[:, 1], "right")
+    out = []
+    for k in range(len(rings)):
+        near = box[k + 1 : last[k]]
+        for m in np.flatnonzero((near[:, 2] <= box[k, 3]) & (near[:, 3] >= box[k, 2])):
+            out.append((int(order[k]), int(order[k + 1 + m])))
+    return out
+
+
+def parts(n: int, pairs: list[tuple[int, int]]) -> list[list[int]]:
+    """Places that pairs connect, in order."""
+    root = list(range(n))
+
+    def top(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for a, b in pairs:
+        root[top(a)] = top(b)
+    out: dict[int, list[int]] = {}
+    for i in range(n):
+        out.setdefault(top(i), []).append(i)
+    return list(out.values())
+
+
+def united(group: list[Ring]) -> tuple[list[Ring], list[str]]:
+    """A group that overlaps or shares edges as rings that do not, largest first, and what could not be done.
+
+    Each ring settles against those settled before it; where it touches one, both make way for what
+    they are together.
+    """
+    todo = [(r.key(), k, r) for k, r in enumerate(group)]
+    heapify(todo)
+    settled: list[Ring] = []
+    warnings, apart, count = [], set(), len(todo)
+    while todo:
+        _, _, ring = heappop(todo)
+        for other in settled:
+            if (id(other), id(ring)) in apart or not overlay.boxes_meet(other.points, ring.points):
                 continue
-            how = overlay.Relation(a.points, b.points)
+            how = overlay.Relation(other.points, ring.points)
             if how.equal:
-                a.ways += [w for w in b.ways if w not in a.ways]
-                del rings[other]
-                warnings.append(f"identical rings of ways {a.ways}")
-                joined = True
+                other.ways = list(dict.fromkeys([*other.ways, *ring.ways]))
+                warnings.append(f"identical rings of ways {other.ways}")
                 break
             if not (how.overlap or how.shared_edge):
                 continue
-            merged = merge(a, b, how)
-            if merged is None:
-                stuck.add((id(a), id(b)))
-                warnings.append(f"rings of ways {a.ways} and {b.ways} have no single union")
+            if (both := merge(other, ring, how)) is None:
+                apart.add((id(other), id(ring)))
+                warnings.append(f"rings of ways {other.ways} and {ring.ways} have no single union")
                 continue
-            del rings[other], rings[at]
-            rings += merged
-            joined = True
+            settled.remove(other)
+            for new in both:
+                heappush(todo, (new.key(), count := count + 1, new))
             break
-        if not joined:
-            at += 1
-    return rings, warnings
-
-
-def hierarchy(rings: list[Ring]) -> list[Ring]:
-    """Roots, each with the rings inside it as children, and so on."""
-    roots: list[Ring] = []
-    for ring in sorted(rings, key=Ring.key):
-        _insert(roots, ring)
-    return roots
-
-
-def _insert(level: list[Ring], ring: Ring) -> None:
-    for other in level:
-        if not overlay.boxes_meet(other.points, ring.points):
-            continue
-        how = overlay.Relation(other.points, ring.points)
-        if how.contains:
-            return _insert(other.children, ring)
-        if how.both:
-            found = overlay.union(other.points, ring.points)
-            outer = [r for r in found if overlay.signed_area(r) > 0]
-            if len(outer) == 1 and overlay.area(outer[0]) >= other.area * _KEPT_AREA:
-                other.points = outer[0]
-                other.ways += [w for w in ring.ways if w not in other.ways]
-                return None
-    level.append(ring)
-    return None
-
-
-def polygons(roots: list[Ring]) -> list[Ring]:
-    """Even levels as outer rings, odd ones as their holes."""
-    out, todo = [], list(roots)
-    while todo:
-        ring = todo.pop(0)
-        out.append(ring)
-        for hole in ring.children:
-            ring.holes.append(hole)
-            todo += hole.children
+        else:
+            settled.append(ring)
+    return settled, warnings
+
+
+def join_adjacent(rings: list[Ring]) -> tuple[list[Ring], list[str]]:
+    """Rings of which none overlap or share an edge: those that do are found at once, each connected
+    group of them is united by itself."""
+    touching = []
+    for a, b in meeting(rings):
+        how = overlay.Relation(rings[a].points, rings[b].points)
+        if how.overlap or how.shared_edge or how.equal:
+            touching.append((a, b))
+    out, warnings = [], []
+    for group in parts(len(rings), touching):
+        own, more = united([rings[k] for k in group]) if len(group) > 1 else ([rings[group[0]]], [])
+        out += own
+        warnings += more
+    return out, warnings
+
+
+def polygons(rings: list[Ring]) -> list[Ring]:
+    """Rings at even depth as outer rings, those directly inside them as their holes.
+
+    The least ring that holds another is its parent. A ring that barely reaches out of another is
+    taken into it instead.
+    """
+    order = sorted(rings, key=Ring.key)
+    near: dict[int, list[int]] = {}
+    for a, b in meeting(order):
+        near.setdefault(max(a, b), []).append(min(a, b))
+    depth: dict[int, int] = {}
+    out = []
+    for k, ring in enumerate(order):
+        parent = None
+        for m in sorted(near.get(k, ()), reverse=True):  # the smallest first
+            if m not in depth:
+                continue
+            how = overlay.Relation(order[m].points, ring.points)
+            if how.contains:
+                parent = m
+                break
+            if how.both and (whole := _taken_in(order[m], ring)):
+                order[m].points = whole
+                order[m].ways = list(dict.fromkeys([*order[m].ways, *ring.ways]))
+                break
+        else:
+            depth[k] = 0
+            out.append(ring)
+        if parent is not None:
+            depth[k] = depth[parent] + 1
+            (order[parent].holes if depth[k] % 2 else out).append(ring)
     return out
 
 
+def _taken_in(large: Ring, small: Ring) -> list | None:
+    """The outer ring of both, where there is one that keeps the larger's area."""
+    outer = [r for r in overlay.union(large.points, small.points) if overlay.signed_area(r) > 0]
+    return outer[0] if len(outer) == 1 and overlay.area(outer[0]) >= large.area * _KEPT_AREA else None
+
+
 def build(ways: list[tuple[int, list[tuple[int, int]]]], close_gaps: bool = True) -> tuple[list[Ring], list[str]]:
     """Outer rings with holes of (way id, positions) in member order, and what went wrong."""
     segments, open_ends = assemble(ways, close_gaps)
@@ -132,7 +185,7 @@ def build(ways: list[tuple[int, list[tuple[int, int]]]], close_gaps: bool = True
     for s in segments:
         rings += [Ring(p, list(s.ways)) for p in (overlay.counter_clockwise(r) for r in overlay.healed(s.points))]
     rings, more = join_adjacent(rings)
-    return polygons(hierarchy(rings)), warnings + more
+    return polygons(rings), warnings + more
 
 
 OUT = "rel_id bigint, poly_no int, lines array<array<struct<a:int,b:int>>>, way_ids array<bigint>, warnings array<string>"
@@ -211,3 +264,23 @@ def multipolygons(copies: DataFrame, relations: DataFrame, members: DataFrame, w
 def warnings(built: DataFrame) -> DataFrame:
     """(rel_id, warning): open ends, identical rings and unions that failed."""
     return built.select("rel_id", F.explode("warnings").alias("warning"))
+
+
+def open_ends(copies: DataFrame) -> DataFrame:
+    """(rel_id, lat, lng) where an odd number of a relation's ways end that do not close themselves."""
+    located = F.filter("refs", lambda r: r["lat"].isNotNull())
+    ways = copies.dropDuplicates(["rel_id", "way_id"]).select("rel_id", located.alias("refs")).where(F.size("refs") > 0)
+    place = lambda r: F.struct(r["lat"].alias("lat"), r["lng"].alias("lng"))
+    both = ways.select("rel_id", F.explode(F.array(place(F.get("refs", F.lit(0))), place(F.element_at("refs", -1)))).alias("p"))
+    return both.groupBy("rel_id", "p.lat", "p.lng").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").select("rel_id", "lat", "lng")
+
+
+def nearest_ends(copies: DataFrame) -> DataFrame:
+    """(rel_id, distance): of the closest two open ends of a relation, in whole units; ends meet by an
+    equality join on the relation."""
+    ends = open_ends(copies)
+    a, b = ends.alias("a"), ends.alias("b")
+    before = (F.col("a.lat") < F.col("b.lat")) | ((F.col("a.lat") == F.col("b.lat")) & (F.col("a.lng") < F.col("b.lng")))
+    pairs = a.join(b, (F.col("a.rel_id") == F.col("b.rel_id")) & before)
+    squared = F.pow(F.col("a.lat").cast("double") - F.col("b.lat"), 2) + F.pow(F.col("a.lng").cast("double") - F.col("b.lng"), 2)
+    return pairs.groupBy(F.col("a.rel_id").alias("rel_id")).agg(F.round(F.min(F.sqrt(squared))).cast("bigint").alias("distance"))

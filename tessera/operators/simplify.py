@@ -212,7 +212,7 @@ def _rings(column: pa.ListArray):
     """The rings of each row as arrays, none for null."""
     outer, lists = column.offsets.to_numpy(), column.values
     inner, points = lists.offsets.to_numpy(), lists.values
-    flat = np.stack([points.field(k).to_numpy(zero_copy_only=False) for k in ("x", "y")], 1).astype(np.int64) if len(points) else np.empty((0, 2), np.int64)
+    flat = np.stack([points.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], 1).astype(np.int64) if len(points) else np.empty((0, 2), np.int64)
     for valid, a, b in zip(column.is_valid().to_pylist(), outer, outer[1:], strict=False):
         yield [flat[inner[k] : inner[k + 1]] for k in range(a, b)] if valid else []
 

@@ -7,6 +7,7 @@ columns. Queries use the operators; the SQL is written out from the rules on its
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from pyspark.sql.window import Window
 
 from ..functions import geo
 from ..functions import tags as T
+from ..functions.storage import fresh
 from ..operators import layers, multipolygon, quadtree, remap, resolve, simplify, tools
-from ..sources import bridge
+from ..sources import bridge, pbf, xml
 from ..streaming import changes as stream_changes
+from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,11 +75,11 @@ def entity_counts(spark, d):
     return tools.entity_counts(nodes=bridge.nodes(spark, d), ways=bridge.way_tags(spark, d), relations=bridge.relations(spark, d))
 
 
-_KEYS = ", ".join(f"'{k}'" for k in T.DROPPED_KEYS)
-_PREFIXES = " OR ".join(f"starts_with(k, '{p}')" for p in T.DROPPED_PREFIXES)
+#: What ingest drops of the keys that these tables have, written out.
+_DROPPED = "k = 'source' OR starts_with(k, 'tiger:') OR starts_with(k, 'NHD_')"
 
 
-@query("tag_blacklist_filter", sql("fx_node_tags fx_way_tags", f"SELECT * FROM (SELECT 'NODE' AS entity, id, k, v FROM fx_node_tags UNION ALL SELECT 'WAY', id, k, v FROM fx_way_tags) WHERE NOT (k IN ({_KEYS}) OR {_PREFIXES})"))
+@query("tag_blacklist_filter", sql("fx_node_tags fx_way_tags", f"SELECT * FROM (SELECT 'NODE' AS entity, id, k, v FROM fx_node_tags UNION ALL SELECT 'WAY', id, k, v FROM fx_way_tags) WHERE NOT ({_DROPPED})"))
 def tag_blacklist_filter(spark, d):
     both = bridge.nodes(spark, d).select(F.lit("NODE").alias("entity"), "id", "tags").unionByName(bridge.way_tags(spark, d).select(F.lit("WAY").alias("entity"), "id", "tags"))
     return exploded(both.withColumn("tags", T.kept(F.col("tags"))), "entity", "id")
@@ -307,9 +310,10 @@ def multipolygon_tags(spark, d):
     return exploded(multipolygon.resolved_tags(shapes, relations, members, bridge.way_tags(spark, d)), "rel_id")
 
 
-@query("exclude_outer_ways", sql("fx_members", "SELECT cast(o_orderkey + 1 AS bigint) AS id FROM orders WHERE o_orderkey + 1 NOT IN (SELECT ref FROM fx_members WHERE rel_id % 3 = 0)"))
+@query("exclude_outer_ways", sql("fx_members", "SELECT cast(o_orderkey + 1 AS bigint) AS id FROM orders WHERE o_orderkey + 1 NOT IN (SELECT ref FROM fx_members WHERE role = 'outer')"))
 def exclude_outer_ways(spark, d):
-    used = bridge.members(spark, d).where("rel_id % 3 = 0").groupBy("rel_id").agg(F.collect_list("ref").alias("way_ids"))
+    """Ways that are no relation's outer member."""
+    used = bridge.members(spark, d).where("role = 'outer'").groupBy("rel_id").agg(F.collect_list("ref").alias("way_ids"))
     return resolve.without_outer_ways(bridge.way_tags(spark, d), used).select("id")
 
 
@@ -423,8 +427,10 @@ _IN = "xmin <= x1 AND x0 <= xmax AND ymin <= y1 AND y0 <= ymax"
 
 @query("tile_counts", sql("fx_way_wide fx_node_wide fx_edges fx_nodes", f"SELECT layer, cast(zoom AS bigint) AS zoom, path, count(*) AS n FROM fx_shown JOIN cells ON {_IN} WHERE depth = 3 GROUP BY layer, zoom, path", LOC, BOX, WAYS, SPOT, SHOWN, cells(3)))
 def tile_counts(spark, d):
-    """Resolved, projected, classified, by zoom, in the cells of depth 3."""
-    return quadtree.at_depth(shown(spark, d), 3).groupBy("layer", long("zoom"), "path").agg(F.count(F.lit(1)).alias("n"))
+    """Resolved, projected, classified, by zoom, in the cells of depth 3: equal spans are counted before
+    they are cut into cells."""
+    spans = shown(spark, d).groupBy("layer", long("zoom"), quadtree.span(F.col("bbox"), 3).alias("span")).agg(F.count(F.lit(1)).alias("n"))
+    return quadtree.cells(spans, 3).groupBy("layer", "zoom", "path").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 @query("quadtree_assign_depth_4", sql("fx_edges fx_nodes", f"SELECT way_id, path FROM fx_box JOIN cells ON {_IN} WHERE depth = 4", LOC, BOX, cells(4)))
@@ -459,7 +465,7 @@ def bbox_overlap_join(spark, d):
     return rows.groupBy(long("window_id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(geo.contains(F.col("w"), F.col("bbox"))).alias("n_inside"))
 
 
-_PIXELS = ", ".join(f"({z}, {geo.pixel(z)!r}e0)" for z in (5, 7, 9, 12, 24))
+_PIXELS = ", ".join(f"({z}, {2 * M}e0 / (256 * {2**z}e0))" for z in (5, 7, 9, 12, 24))
 
 
 @query("pixel_area_cutoff", sql("fx_edges fx_nodes", f"SELECT b.way_id, cast(zoom AS bigint) AS zoom FROM fx_box b JOIN fx_area a ON a.way_id = b.way_id CROSS JOIN (VALUES {_PIXELS}) z(zoom, width) WHERE closed AND area >= width * width", LOC, BOX, AREA))
@@ -576,26 +582,158 @@ def multipolygon_build(spark, d):
 
 @query("nearest_open_endpoints", sql("fx_members fx_edges fx_nodes", """SELECT a.rel_id, cast(round(min(sqrt(power(a.lat - b.lat, 2) + power(a.lng - b.lng, 2)))) AS bigint) AS distance
     FROM ends a JOIN ends b ON a.rel_id = b.rel_id AND (a.lat < b.lat OR (a.lat = b.lat AND a.lng < b.lng)) GROUP BY a.rel_id""",
-    LOC, "ends AS (SELECT DISTINCT m.rel_id, l.lat, l.lng FROM fx_members m JOIN fx_loc l ON l.way_id = m.ref AND l.pos = 1)"))
+    LOC, "way_ends AS (SELECT way_id, unnest([arg_min(lat, pos), arg_max(lat, pos)]) AS lat, unnest([arg_min(lng, pos), arg_max(lng, pos)]) AS lng FROM fx_loc GROUP BY way_id)",
+    "ends AS (SELECT m.rel_id, e.lat, e.lng FROM (SELECT DISTINCT rel_id, ref FROM fx_members) m JOIN way_ends e ON e.way_id = m.ref GROUP BY m.rel_id, e.lat, e.lng HAVING count(*) % 2 = 1)"))
 def nearest_open_endpoints(spark, d):
-    """The closest two first positions of a relation's ways."""
-    import pandas as pd
+    """The closest two open ends of a relation's ways."""
+    copies = bridge.members(spark, d).select("rel_id", F.col("ref").alias("way_id")).join(located(spark, d).select(F.col("id").alias("way_id"), "refs"), "way_id")
+    return multipolygon.nearest_ends(copies)
 
-    from ..operators.rings import Assembler
 
-    def nearest(pdf):
-        own = Assembler()
-        own.ends = dict.fromkeys(zip(pdf.lat.astype(int), pdf.lng.astype(int), strict=True))
-        best = own.nearest()
-        return pd.DataFrame([(int(pdf.rel_id.iloc[0]), round(best[0]))] if best else [], columns=["rel_id", "distance"])
+# Rings that must be healed or cannot be closed, rings that simplify to their corners
 
-    first = resolve.locate_edges(bridge.edges(spark, d).where("pos = 1"), bridge.nodes(spark, d)).select(F.col("way_id").alias("ref"), "lat", "lng")
-    return bridge.members(spark, d).join(first, "ref").groupBy("rel_id").applyInPandas(nearest, "rel_id long, distance long")
+_CASES |= {"ring_healing": ["acbda", "aba", "abea"]}
+_figure("ring_healing", [(1, 0, 1, "0.25 * s * s"), None, None])
+
+
+@query("open_end_warnings", "SELECT c_custkey AS rel_id, cast(1 AS bigint) AS n FROM customer WHERE c_custkey % 2 = 1")
+def open_end_warnings(spark, d):
+    """Relations whose ways leave ends too far apart to be joined."""
+    built = multipolygon.assemble_relations(_case_copies(spark, d, _CASES["gap_closing"]))
+    return multipolygon.warnings(built).where(F.contains("warning", F.lit("open ends"))).groupBy("rel_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("open_ends", "SELECT c_custkey AS rel_id, cast(CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 4 END AS bigint) AS n FROM customer")
+def open_ends(spark, d):
+    return multipolygon.open_ends(_case_copies(spark, d, _CASES["gap_closing"])).groupBy("rel_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("simplify_ring_corners", f"SELECT cast(p_partkey AS bigint) AS id, cast(zoom AS bigint) AS zoom, cast(CASE WHEN 1e6 * p_size * p_size / 2 >= width * width THEN 5 ELSE 4 END AS bigint) AS n_points FROM part CROSS JOIN (VALUES {_PIXELS}) z(zoom, width) WHERE 1000e0 * p_size >= width")
+def simplify_ring_corners(spark, d):
+    """Squares with 24 more points on their sides, each zoom by itself: rings that keep four points at least."""
+    side, n = F.col("p_size") * 1000, 7
+    corners = [(0, 0), (n, 0), (n, n), (0, n), (0, 0)]
+    steps = [(a[0] + (b[0] - a[0]) * k // n, a[1] + (b[1] - a[1]) * k // n) for a, b in zip(corners, corners[1:], strict=False) for k in range(n)]
+    place = lambda k: F.floor(side * k / n).cast("int")
+    ring = F.array(*(F.struct(place(x).alias("x"), place(y).alias("y")) for x, y in [*steps, (0, 0)]))
+    rows = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), F.lit(True).alias("area"), F.explode(F.array(*map(F.lit, (5, 7, 9, 12, 24)))).alias("z"), F.array(ring).alias("rings"))
+    found = simplify.pyramids(rows.select("id", "area", F.array("z").alias("zooms"), "rings"))
+    return found.select("id", long("zoom"), F.size(F.col("rings")[0]).cast("bigint").alias("n_points"))
+
+
+# Files: written from the tables, read back
+
+
+def _pbf(spark, d) -> DataFrame:
+    path = fresh(spark)
+    pbf.write(bridge.entities(spark, d), path)
+    return pbf.read(spark, path)
+
+
+def _osm(spark, d) -> str:
+    """A map file in XML, with ways and relations that refer to nothing beside the tables' own."""
+    path, rows = fresh(spark), bridge.entities(spark, d)
+    empty = rows.where("entity <> 'NODE'").select("entity", (F.col("id") + 1_000_000_000_000).alias("id"), "version", "lat", "lng", F.lit(None).cast("array<bigint>").alias("refs"), F.lit(None).cast("array<struct<type:string,ref:bigint,role:string>>").alias("members"), "tags")
+    xml.write(bridge.xml_lines(rows.unionByName(empty)), path)
+    return path
+
+
+_ALL_TAGS = "SELECT 'NODE' AS entity, id, k, v FROM fx_node_tags UNION ALL SELECT 'WAY', id, k, v FROM fx_way_tags WHERE id IN (SELECT way_id FROM fx_edges) UNION ALL SELECT 'RELATION', id, k, v FROM fx_rel_tags"
+
+
+@query("pbf_nodes", sql("fx_nodes", "SELECT id, lat, lng FROM fx_nodes"))
+def pbf_nodes(spark, d):
+    return pbf.nodes(_pbf(spark, d)).select("id", long("lat"), long("lng"))
+
+
+@query("pbf_tags", sql("fx_node_tags fx_way_tags fx_rel_tags fx_edges", _ALL_TAGS))
+def pbf_tags(spark, d):
+    return exploded(_pbf(spark, d), "entity", "id")
+
+
+@query("pbf_way_refs", sql("fx_edges", "SELECT way_id, pos, node_id FROM fx_edges"))
+def pbf_way_refs(spark, d):
+    rows = pbf.ways(_pbf(spark, d)).select(F.col("id").alias("way_id"), F.explode("refs").alias("r"))
+    return rows.select("way_id", F.col("r.pos").cast("bigint").alias("pos"), F.col("r.id").alias("node_id"))
+
+
+@query("pbf_members", sql("fx_members", "SELECT rel_id, pos, type, ref, role FROM fx_members"))
+def pbf_members(spark, d):
+    return resolve.member_edges(pbf.relations(_pbf(spark, d))).select("rel_id", long("pos"), "type", "ref", "role")
+
+
+@query("pbf_from_any_store", sql("fx_edges", "SELECT 'NODE' AS entity, count(*) AS n FROM part UNION ALL SELECT 'WAY', count(DISTINCT way_id) FROM fx_edges UNION ALL SELECT 'RELATION', count(*) FROM customer"))
+def pbf_from_any_store(spark, d):
+    path = fresh(spark)
+    pbf.write(bridge.entities(spark, d), path)
+    return pbf.read_whole(spark, path).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("xml_nodes", sql("fx_nodes fx_node_tags", "SELECT n.id, n.lat, n.lng, coalesce(t.n, 0) AS n_tags FROM fx_nodes n LEFT JOIN (SELECT id, count(*) AS n FROM fx_node_tags GROUP BY id) t ON t.id = n.id"))
+def xml_nodes(spark, d):
+    return xml.nodes(spark, _osm(spark, d)).select("id", long("lat"), long("lng"), F.size("tags").cast("bigint").alias("n_tags"))
+
+
+@query("xml_way_refs", sql("fx_edges", "SELECT way_id, pos, node_id FROM fx_edges"))
+def xml_way_refs(spark, d):
+    rows = xml.ways(spark, _osm(spark, d)).select(F.col("id").alias("way_id"), F.explode("refs").alias("r"))
+    return rows.select("way_id", F.col("r.pos").cast("bigint").alias("pos"), F.col("r.id").alias("node_id"))
+
+
+@query("xml_without_empty", sql("fx_edges fx_members", "SELECT 'WAY' AS entity, count(DISTINCT way_id) AS n FROM fx_edges UNION ALL SELECT 'RELATION', count(DISTINCT rel_id) FROM fx_members"))
+def xml_without_empty(spark, d):
+    path = _osm(spark, d)
+    both = xml.ways(spark, path).select(F.lit("WAY").alias("entity")).unionByName(xml.relations(spark, path).select(F.lit("RELATION").alias("entity")))
+    return both.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("xml_members", sql("fx_members", "SELECT rel_id, pos, type, ref, role FROM fx_members"))
+def xml_members(spark, d):
+    return resolve.member_edges(xml.relations(spark, _osm(spark, d))).select("rel_id", long("pos"), "type", "ref", "role")
+
+
+# Stores and tiles
+
+
+def _ingested(spark, d) -> pipeline.Store:
+    return pipeline.ingest(spark, bridge.entities(spark, d), fresh(spark))
+
+
+@query("stored_entities", sql("fx_edges", "SELECT 'nodes' AS store, count(*) AS n FROM part UNION ALL SELECT 'ways', count(DISTINCT way_id) FROM fx_edges UNION ALL SELECT 'relations', count(*) FROM customer"))
+def stored_entities(spark, d):
+    """What an ingest leaves, over one that it replaces."""
+    store = _ingested(spark, d)
+    store.write("id_map", spark.range(1))
+    store = pipeline.ingest(spark, bridge.entities(spark, d), store.path)
+    out = [store.read(n).select(F.lit(n).alias("store")) for n in ("nodes", "ways", "relations", "id_map") if store.has(n)]
+    return reduce(DataFrame.unionByName, out).groupBy("store").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stored_tags", sql("fx_node_tags fx_way_tags fx_rel_tags fx_edges", f"SELECT * FROM ({_ALL_TAGS}) WHERE NOT ({_DROPPED})"))
+def stored_tags(spark, d):
+    store = _ingested(spark, d)
+    return reduce(DataFrame.unionByName, (exploded(store.read(n).withColumn("entity", F.lit(e)), "entity", "id") for n, e in (("nodes", "NODE"), ("ways", "WAY"), ("relations", "RELATION"))))
+
+
+@query("stored_references", sql("fx_edges fx_members", "SELECT target_type, src_type, count(*) AS n FROM (SELECT DISTINCT 'NODE' AS target_type, node_id AS target_id, 'WAY' AS src_type, way_id AS src_id FROM fx_edges UNION ALL SELECT DISTINCT type, ref, 'RELATION', rel_id FROM fx_members) GROUP BY target_type, src_type"))
+def stored_references(spark, d):
+    store = pipeline.resolve_store(spark, _ingested(spark, d).path, multipolygons=False)
+    return store.read("reverse_refs").distinct().groupBy("target_type", "src_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stored_tiles", sql("fx_way_wide fx_node_wide fx_edges fx_nodes", "SELECT layer, count(*) AS n FROM fx_shown WHERE zoom = 24 AND layer NOT IN ('boundary', 'roadLabel', 'roadMinorLabel') GROUP BY layer", LOC, BOX, WAYS.replace("= w.id)", "= w.id WHERE b.n > 1)"), SPOT, SHOWN))
+def stored_tiles(spark, d):
+    """Features in the tiles of the finest zoom, written and read back; of layers that take no tags over from boundaries."""
+    store = pipeline.resolve_store(spark, _ingested(spark, d).path, multipolygons=False)
+    out = pipeline.tile(spark, store.path, fresh(spark), lod=False, budget=200_000)
+    rows = out.read("tiles").select("layer", "entity_type", "entity_id").distinct().where("layer NOT IN ('boundary', 'roadLabel', 'roadMinorLabel')")
+    return rows.groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Stores, changes, scalars
 
-_CLASSES = tools.geometric_classes(1200, 16)
+#: Sixteen sizes from 8 to 1200, each about 1.4 times the one before.
+_CLASSES = [8, 11, 16, 22, 30, 42, 60, 83, 116, 162, 226, 315, 440, 614, 859, 1200]
 _CLASS = "CASE " + " ".join(f"WHEN size <= {c} THEN {c}" for c in _CLASSES) + " END"
 _SIZES = "SELECT cast(8 + o_orderkey * 7919 % 1190 AS bigint) AS bytes FROM {orders}"
 
@@ -624,6 +762,25 @@ def osmchange_counts(spark, d):
     return stream_changes.counts(spark.sql(_CHANGES, events=spark.read.parquet(f"{d}/events.parquet")))
 
 
+@query("osmchange_scan", "SELECT change, entity, count(*) AS n, cast(sum(id) AS bigint) AS ids, cast(sum(version) AS bigint) AS versions FROM (" + _CHANGES.replace("{events}", "events") + ") GROUP BY change, entity")
+def osmchange_scan(spark, d):
+    """Counts of a change file, written from the events and read back."""
+    rows = spark.sql(_CHANGES, events=spark.read.parquet(f"{d}/events.parquet"))
+    element = F.format_string('<%s><%s id="%d" version="%d" lat="0" lon="0"/></%s>', "change", F.lower("entity"), "id", "version", "change")
+    path = fresh(spark)
+    xml.write(rows.select(element.alias("value")), path, "osmChange")
+    return xml.changes(spark, path).groupBy("change", "entity").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.sum("version").cast("bigint").alias("versions"))
+
+
+@query("changes_after_deletes", "SELECT entity, id, cast(version AS bigint) AS version FROM (SELECT *, row_number() OVER (PARTITION BY entity, id ORDER BY version DESC, CASE change WHEN 'delete' THEN 0 WHEN 'modify' THEN 1 ELSE 2 END) AS r FROM (" + _CHANGES.replace("{events}", "events") + ")) WHERE r = 1 AND change <> 'delete'")
+def changes_after_deletes(spark, d):
+    """What is left when the later half of the changes is applied first."""
+    rows = spark.sql(_CHANGES, events=spark.read.parquet(f"{d}/events.parquet"))
+    late = F.col("version") % 2 == 0
+    state = stream_changes.applied(stream_changes.latest(rows.where(late)), rows.where(~late))
+    return stream_changes.live(state).select("entity", "id", long("version"))
+
+
 @query("changes_latest_version", "SELECT entity, id, cast(max(version) AS bigint) AS version FROM (" + _CHANGES.replace("{events}", "events") + ") GROUP BY entity, id")
 def changes_latest_version(spark, d):
     return stream_changes.latest(spark.sql(_CHANGES, events=spark.read.parquet(f"{d}/events.parquet"))).select("entity", "id", long("version"))

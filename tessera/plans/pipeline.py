@@ -22,6 +22,10 @@ from ..sources import pbf
 
 #: Places within a row, more than any has references.
 SPAN = 1 << 20
+#: Tables of each step.
+INGESTED = ("entities", "id_map", "nodes", "ways", "relations", "refused")
+RESOLVED = ("located_ways", "missing_nodes", "reverse_refs", "rings", "ring_warnings", "multipolygons")
+TILED = ("features", "tile_index", "tiles")
 
 
 @dataclass(frozen=True)
@@ -39,10 +43,18 @@ class Store:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return self.read(name)
 
-    def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        place = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+    def _place(self, name: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def has(self, name: str) -> bool:
+        place, files = self._place(name)
+        return files.exists(place)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            place, files = self._place(name)
+            files.delete(place, True)
 
 
 def mentions(entities: DataFrame) -> DataFrame:
@@ -71,8 +83,9 @@ def renumbered(entities: DataFrame, ids: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, entities: DataFrame, dest: str, renumber: bool = False) -> Store:
     """Stores of schemas.ENTITIES rows. Ids that are not positive, and nodes outside the world, go to
-    `refused` instead of ending the run."""
+    `refused` instead of ending the run. What an earlier run left there goes first."""
     store = Store(spark, dest)
+    store.drop(*INGESTED, *RESOLVED)
     fine = F.coalesce((F.col("id") > 0) & ((F.col("entity") != "NODE") | geo.in_range(F.col("lat"), F.col("lng"))), F.lit(False))
     store.write("refused", entities.where(~fine).select("entity", "id", "version", "lat", "lng"))
     rows = entities.where(fine)
@@ -140,7 +153,8 @@ def features(ways: DataFrame, relations: DataFrame, polygons: DataFrame | None,
 def tile(spark: SparkSession, source: str, dest: str, lod: bool = True, budget: int = quadtree.LEAF_BYTES, outer_ways: bool = True) -> Store:
     """Features and their tiles below dest: `features`, `tile_index`, and `tiles` by layer, zoom and tile."""
     store, out = Store(spark, source), Store(spark, dest)
-    polygons = store.read("multipolygons")
+    polygons = store.read("multipolygons") if store.has("multipolygons") else None
+    out.drop(*TILED)
     rows = features(store.read("located_ways"), store.read("relations"), polygons, store.read("nodes"), lod, outer_ways)
     key = ["layer", "zoom", "entity_type", "entity_id", "part"]
     rows = out.write("features", rows)

@@ -146,3 +146,33 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, version, tags); members are a table of their own."""
     base, key, tags = _tags("fx_rel_tags")
     return _table(spark, sf_dir, base).select(key, F.lit(1).alias("version"), tags)
+
+
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of them as schemas.ENTITIES."""
+    kind = "array<struct<type:string,ref:bigint,role:string>>"
+    none = {"lat": F.lit(None).cast("int"), "lng": F.lit(None).cast("int"), "refs": F.lit(None).cast("array<bigint>"), "members": F.lit(None).cast(kind)}
+
+    def rows(df: DataFrame, entity: str, **own):
+        columns = [(own.get(c, v)).alias(c) for c, v in none.items()]
+        return df.select(F.lit(entity).alias("entity"), "id", F.lit(1).alias("version"), *columns, "tags")
+
+    grouped = members(spark, sf_dir).groupBy(F.col("rel_id").alias("id")).agg(F.sort_array(F.collect_list(F.struct("pos", "type", "ref", "role"))).alias("m"))
+    parts = F.transform("m", lambda x: F.struct(x["type"].alias("type"), x["ref"].alias("ref"), x["role"].alias("role")))
+    found = rows(nodes(spark, sf_dir), "NODE", lat=F.col("lat"), lng=F.col("lng"))
+    found = found.unionByName(rows(ways(spark, sf_dir), "WAY", refs=F.transform("refs", lambda r: r["id"])))
+    return found.unionByName(rows(relations(spark, sf_dir).join(grouped, "id", "left"), "RELATION", members=parts.cast(kind)))
+
+
+def xml_lines(rows: DataFrame) -> DataFrame:
+    """(value): each entity as an element of a map file, on a line."""
+    escaped = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    degrees = lambda c: (c.cast("decimal(20,0)") / F.lit(10000000).cast("decimal(8,0)")).cast("decimal(12,7)").cast("string")
+    joined = lambda items: F.coalesce(F.array_join(items, ""), F.lit(""))
+    place = F.when(F.col("entity") == "NODE", F.format_string(' lat="%s" lon="%s"', degrees(F.col("lat")), degrees(F.col("lng")))).otherwise("")
+    refs = joined(F.transform("refs", lambda r: F.concat(F.lit('<nd ref="'), r.cast("string"), F.lit('"/>'))))
+    parts = joined(F.transform("members", lambda m: F.concat(F.lit('<member type="'), F.lower(m["type"]), F.lit('" ref="'), m["ref"].cast("string"), F.lit('" role="'), escaped(m["role"]), F.lit('"/>'))))
+    tags = joined(F.transform(F.map_entries("tags"), lambda t: F.concat(F.lit('<tag k="'), escaped(t["key"]), F.lit('" v="'), escaped(t["value"]), F.lit('"/>'))))
+    name = F.lower("entity")
+    head = F.concat(F.lit("<"), name, F.lit(' id="'), F.col("id").cast("string"), F.lit('" version="'), F.col("version").cast("string"), F.lit('"'), place, F.lit(">"))
+    return rows.select(F.concat(head, refs, parts, tags, F.lit("</"), name, F.lit(">")).alias("value"))

@@ -1,7 +1,9 @@
-"""Map files in PBF, as a Spark data source and a writer of small ones.
+"""Map files in PBF: a Spark data source, files in any store that Spark reads, and a distributed writer.
 
-`partitions` reads blob headers only and deals runs of whole blobs to tasks, so a planet file is
-decoded by as many tasks as it has megabytes. Metadata beyond versions is never decoded.
+In file systems that workers have mounted, `partitions` reads blob headers only and deals runs of
+whole blobs to tasks, so a planet file is decoded by as many tasks as it has megabytes. From any other
+store a file is one row of Spark's own reader, at most 2 GB of it: cut larger ones up. Entities leave
+in Arrow batches. Metadata beyond versions is never decoded.
 
     spark.dataSource.register(OsmPbf)
     spark.read.format("osmpbf").load(path)      # rows of schemas.ENTITIES
@@ -9,13 +11,16 @@ decoded by as many tasks as it has megabytes. Metadata beyond versions is never
 
 from __future__ import annotations
 
+import io
 import os
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -27,8 +32,10 @@ from . import wire
 # The largest header and blob of the format, and the order of member types.
 MOST_HEADER, MOST_BLOB = 32 << 10, 32 << 20
 MEMBERS = ("NODE", "WAY", "RELATION")
-#: Bytes of a partition, about.
-SPLIT = 16 << 20
+#: Bytes of a partition, about; entities of an Arrow batch and of a written blob.
+SPLIT, BATCH = 16 << 20, 4096
+_MEMBER = pa.struct([("type", pa.string()), ("ref", pa.int64()), ("role", pa.string())])
+ARROW = pa.schema([("entity", pa.string()), ("id", pa.int64()), ("version", pa.int32()), ("lat", pa.int32()), ("lng", pa.int32()), ("refs", pa.list_(pa.int64())), ("members", pa.list_(_MEMBER)), ("tags", pa.map_(pa.string(), pa.string()))])
 
 
 class MapFileError(ValueError):
@@ -151,13 +158,41 @@ class Blobs(InputPartition):
     end: int
 
 
+def record_batches(entities: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Entities in Arrow batches of schemas.ENTITIES."""
+    while rows := list(islice(entities, BATCH)):
+        columns = [list(c) for c in zip(*rows, strict=True)]
+        columns[6] = [m and [dict(zip(("type", "ref", "role"), x, strict=True)) for x in m] for m in columns[6]]
+        columns[7] = [list(t.items()) for t in columns[7]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW, strict=True)], schema=ARROW)
+
+
+def entities_of(file, start: int, end: int | None = None) -> Iterator[tuple]:
+    """Entities of the blobs of an open file from a place on, up to another."""
+    at = start
+    while (end is None or at < end) and (frame := blob_at(file, at)):
+        kind, begin, size = frame
+        at = begin + size
+        if kind == "OSMHeader":
+            continue
+        if kind != "OSMData":
+            raise MapFileError(f"unknown blob type {kind}")
+        file.seek(begin)
+        yield from Block(inflate(file.read(size))).entities()
+
+
+def is_map(name: str) -> bool:
+    """Whether a file of a folder is one: by its ending, or as a part that Spark wrote."""
+    return name.endswith(".pbf") or name.startswith("part-")
+
+
 class PbfReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"].removeprefix("file://")
         self.split = int(options.get("split", SPLIT))
 
     def partitions(self):
-        files = [self.path] if os.path.isfile(self.path) else sorted(os.path.join(self.path, f) for f in os.listdir(self.path) if f.endswith(".pbf"))
+        files = [self.path] if os.path.isfile(self.path) else sorted(os.path.join(self.path, f) for f in os.listdir(self.path) if is_map(f))
         out = []
         for path in files:
             with open(path, "rb") as f:
@@ -175,16 +210,7 @@ class PbfReader(DataSourceReader):
         if partition.end == partition.start:
             return
         with open(partition.path, "rb") as f:
-            at = partition.start
-            while at < partition.end and (frame := blob_at(f, at)):
-                kind, begin, size = frame
-                at = begin + size
-                if kind == "OSMHeader":
-                    continue
-                if kind != "OSMData":
-                    raise MapFileError(f"unknown blob type {kind}")
-                f.seek(begin)
-                yield from Block(inflate(f.read(size))).entities()
+            yield from record_batches(entities_of(f, partition.start, partition.end))
 
 
 class OsmPbf(DataSource):
@@ -203,8 +229,54 @@ class OsmPbf(DataSource):
 
 def read(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
     """Rows of schemas.ENTITIES."""
-    spark.dataSource.register(OsmPbf)
-    return spark.read.format("osmpbf").option("split", split).load(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file":
+        spark.dataSource.register(OsmPbf)
+        return spark.read.format("osmpbf").option("split", split).load(place.toUri().getPath())
+    return read_whole(spark, path)
+
+
+def read_whole(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of schemas.ENTITIES, each file read as one row by Spark, wherever it is."""
+
+    def parse(batches):
+        for b in batches:
+            for content in b.column(0):
+                yield from record_batches(entities_of(io.BytesIO(content.as_py()), 0))
+
+    files = spark.read.format("binaryFile").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.where(name.endswith(".pbf") | name.startswith("part-")).select("content").mapInArrow(parse, ENTITIES)
+
+
+def write(entities: DataFrame, path: str) -> None:
+    """Rows of schemas.ENTITIES as files below path, by Spark's text writer.
+
+    Its line feed is the last byte of a blob: the value of a field that readers skip. Files appear by
+    Spark's commit only, on any file system.
+    """
+
+    def frames(batches):
+        held = PbfWriter(line_ended=True)
+        yield [held.header()]
+        for b in batches:
+            for k in range(0, b.num_rows, BATCH):
+                for r in b.slice(k, BATCH).to_pylist():
+                    tags, version = dict(r["tags"] or ()), r["version"] or 1
+                    if r["entity"] == "NODE":
+                        held.node(r["id"], r["lat"], r["lng"], tags, version)
+                    elif r["entity"] == "WAY":
+                        held.way(r["id"], r["refs"] or [], tags, version)
+                    else:
+                        held.relation(r["id"], [(m["type"], m["ref"], m["role"] or "") for m in r["members"] or ()], tags, version)
+                yield [held.flush()]
+
+    def run(batches):
+        for f in frames(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([x[:-1] for x in f], pa.binary())], names=["value"])
+
+    columns = [c.name for c in ARROW]
+    entities.select(*columns).mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
 
 
 def nodes(entities: DataFrame) -> DataFrame:
@@ -226,8 +298,8 @@ def relations(entities: DataFrame) -> DataFrame:
 class PbfWriter:
     """A small file, entity by entity: for exchange and tests."""
 
-    def __init__(self, dense: bool = True, compress: bool = True, granularity: int = 100):
-        self.dense, self.compress, self.granularity = dense, compress, granularity
+    def __init__(self, dense: bool = True, compress: bool = True, granularity: int = 100, line_ended: bool = False):
+        self.dense, self.compress, self.granularity, self.line_ended = dense, compress, granularity, line_ended
         self.names: dict[str, int] = {"": 0}
         self.nodes: list = []
         self.ways: list = []
@@ -272,6 +344,8 @@ class PbfWriter:
 
     def frame(self, kind: str, data: bytes) -> bytes:
         blob = wire.message((2, len(data)), (3, zlib.compress(data))) if self.compress else wire.message((1, data))
+        if self.line_ended:  # an unknown field, whose value is a line feed
+            blob += wire.message((15, 10))
         header = wire.message((1, kind), (3, len(blob)))
         return struct.pack(">I", len(header)) + header + blob
 

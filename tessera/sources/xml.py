@@ -6,6 +6,7 @@ by row tag, so every kind of entity is one distributed scan.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,19 @@ def changes(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def write(lines: DataFrame, path: str, root: str = "osm") -> None:
+    """Elements (value), each on a line, as files below path that are whole documents."""
+
+    def run(batches):
+        batch = lambda values: pa.RecordBatch.from_arrays([values], names=["value"])
+        yield batch(pa.array([f"<{root}>"]))
+        for b in batches:
+            yield batch(b.column(0))
+        yield batch(pa.array([f"</{root}>"]))
+
+    lines.select("value").mapInArrow(run, "value string").write.text(path)
+
+
 def _fields(schema: str) -> str:
     """A column list as the fields of a struct."""
     out, depth, part = [], 0, ""

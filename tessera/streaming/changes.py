@@ -1,7 +1,9 @@
 """Changes as a stream: the latest version of every entity wins, and what refers to it is due again.
 
-State is a folder of numbered snapshots; a batch writes the next one whole and then names it, so a
-batch that is repeated after a failure leaves the same state.
+State is a folder of numbered batches, each with the buckets (by hash of entity and id) that it touched;
+the newest of each bucket counts. A batch reads and writes the buckets of its changes only, and removes
+what the batches before the last made of them, so a batch that is repeated after a failure leaves the
+same state. Deleted entities stay as such: a late change of a lower version does not bring them back.
 """
 
 from __future__ import annotations
@@ -9,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
 
 from ..schemas import CHANGES
 
+#: Parts of the state that are rewritten on their own.
+BUCKETS = 256
 _ORDER = {"create": 0, "modify": 1, "delete": 2}
 
 
@@ -24,14 +27,18 @@ def counts(changes: DataFrame) -> DataFrame:
 def latest(changes: DataFrame) -> DataFrame:
     """Of each entity's changes the one of the highest version; of equals a delete, then a modify."""
     rank = F.coalesce(F.create_map(*(F.lit(x) for kv in _ORDER.items() for x in kv))[F.col("change")], F.lit(-1))
-    w = Window.partitionBy("entity", "id").orderBy(F.desc("version"), rank.desc())
-    return changes.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    last = F.max_by(F.struct(*changes.columns), F.struct(F.coalesce("version", F.lit(0)), rank)).alias("last")
+    return changes.groupBy("entity", "id").agg(last).select("last.*")
 
 
 def applied(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """state (schemas.ENTITIES) after changes: newer versions replace, deletes remove."""
-    held = state.withColumn("change", F.lit("create"))
-    return latest(held.unionByName(changes.select(*held.columns))).where("change <> 'delete'").drop("change")
+    """state (schemas.CHANGES, deletes among them) after changes."""
+    return latest(state.unionByName(changes.select(*state.columns)))
+
+
+def live(state: DataFrame) -> DataFrame:
+    """schemas.ENTITIES of a state: what is not deleted."""
+    return state.where("change <> 'delete'").drop("change")
 
 
 def dirty(reverse: DataFrame, changes: DataFrame) -> DataFrame:
@@ -45,26 +52,55 @@ def dirty(reverse: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def stream(spark: SparkSession, source: str, state: str, checkpoint: str, file_format: str = "parquet") -> StreamingQuery:
-    """Follows change files (schemas.CHANGES) in a folder and keeps state/<n> up to date."""
+    """Follows change files (schemas.CHANGES) in a folder and keeps the state up to date."""
 
     def step(batch: DataFrame, number: int) -> None:
         spark_ = batch.sparkSession
-        before = current(spark_, state, number)
-        now = latest(batch) if before is None else None
-        out = now.where("change <> 'delete'").drop("change") if before is None else applied(before, batch)
-        out.write.mode("overwrite").parquet(f"{state}/{number:012d}")
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64("entity", "id"), F.lit(BUCKETS)).cast("int"))
+        touched = {str(r.bucket) for r in rows.select("bucket").distinct().collect()}  # BUCKETS at most
+        held = _buckets(spark_, state, number)
+        before = [f"{state}/{n[-1]}/bucket={b}" for b, n in held.items() if b in touched and n]
+        old = spark_.read.schema(CHANGES).parquet(*before) if before else None
+        out = latest(batch) if old is None else applied(old, batch)
+        out = out.withColumn("bucket", F.pmod(F.xxhash64("entity", "id"), F.lit(BUCKETS)).cast("int"))
+        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{state}/{number:012d}")
+        for b in touched & set(held):
+            for n in held[b][:-1]:
+                _remove(spark_, f"{state}/{n}/bucket={b}")
 
     changes = spark.readStream.schema(CHANGES).format(file_format).load(source)
     return changes.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, state: str, before: int | None = None) -> DataFrame | None:
-    """The last whole snapshot, of batches before a number if one is given."""
-    jvm = spark._jvm
-    top = jvm.org.apache.hadoop.fs.Path(state)
-    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(top):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(top))
-    whole = [n for n in names if n.isdigit() and (before is None or int(n) < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state}/{n}/_SUCCESS"))]
-    return spark.read.parquet(f"{state}/{whole[-1]}") if whole else None
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _buckets(spark: SparkSession, state: str, before: int | None) -> dict[str, list[str]]:
+    """The whole batches, in order, that hold each bucket; of those before a number if one is given."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(state).getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[str, list[str]] = {}
+    if not fs.exists(path(state)):
+        return out
+    names = sorted(s.getPath().getName() for s in fs.listStatus(path(state)))
+    for n in names:
+        if n.isdigit() and (before is None or int(n) < before) and fs.exists(path(f"{state}/{n}/_SUCCESS")):
+            for s in fs.listStatus(path(f"{state}/{n}")):
+                key, _, bucket = s.getPath().getName().partition("=")
+                if key == "bucket":
+                    out.setdefault(bucket, []).append(n)
+    return out
+
+
+def held(spark: SparkSession, state: str) -> DataFrame | None:
+    """schemas.CHANGES: the last change of every entity, deletes among them."""
+    paths = [f"{state}/{n[-1]}/bucket={b}" for b, n in _buckets(spark, state, None).items()]
+    return spark.read.schema(CHANGES).parquet(*paths) if paths else None
+
+
+def current(spark: SparkSession, state: str) -> DataFrame | None:
+    """schemas.ENTITIES as they are now."""
+    rows = held(spark, state)
+    return None if rows is None else live(rows)

@@ -106,3 +106,11 @@ def test_bounds_of_nothing(spark):
     none = F.array().cast("array<struct<x:int,y:int>>")
     row = one(spark, geo.bounds(none).alias("b"), geo.valid(geo.bounds(none)).alias("v"), geo.ring_area(none).alias("a"))
     assert row.b is None and row.v is False and row.a == 0
+
+
+def test_what_ingest_drops(spark):
+    from tessera.functions import tags as T
+
+    keys = ["start_date", "Ortskennzahl", "Canadian database by Natural Resources Canada. x", "onkz", "odbl", "canvec:a", "statscan:rbuid", "name"]
+    assert [r.k for r in spark.createDataFrame([(k,) for k in keys], "k string").where(~T.dropped(F.col("k"))).collect()] == [*keys[:3], "name"]
+    assert len(set(T.DROPPED_KEYS)) == 71 and len(set(T.DROPPED_PREFIXES)) == 67

@@ -121,6 +121,38 @@ def test_simplified_lines_stay_near_and_settle(points, tolerance):
     assert (simplify.simplified(again, tolerance) == again).all()
 
 
+def test_overlays_of_long_rings_end():
+    import time
+
+    def wave(n, shift):
+        points = [(round(1e6 * (1 + 0.2 * math.sin(40 * t)) * math.cos(t)) + shift, round(1e6 * (1 + 0.2 * math.sin(40 * t)) * math.sin(t))) for t in (2 * math.pi * k / n for k in range(n))]
+        return [*points, points[0]]
+
+    began = time.monotonic()
+    a, b = wave(20_000, 0), wave(20_000, 300_001)
+    whole = sum(map(overlay.signed_area, overlay.union(a, b)))
+    assert whole == overlay.signed_area(a) + sum(map(overlay.signed_area, overlay.difference(b, a)))
+    assert time.monotonic() - began < 120
+
+
+def test_gaps_close_nearest_first():
+    from itertools import combinations
+
+    from tessera.operators.rings import Nearest
+
+    rnd = random.Random(2)
+    for _ in range(40):
+        places = {(rnd.randint(-50, 50), rnd.randint(-50, 50)) for _ in range(rnd.randint(1, 30))}
+        near = Nearest(places)
+        while len(places) > 1:
+            want = min((math.hypot(p[0] - q[0], p[1] - q[1]), p, q) for p, q in combinations(sorted(places), 2))
+            assert near.best() == want
+            for p in want[1:]:
+                near.drop(p)
+                places.discard(p)
+        assert near.best() is None
+
+
 def test_simplified_rings_do_not_cross():
     rnd = random.Random(8)
     for _ in range(40):

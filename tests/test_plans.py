@@ -91,8 +91,25 @@ def test_leaves_cover_all_and_keep_the_budget(spark):
     assert held.select("id").distinct().count() == 500
     assert index.where("is_leaf AND bytes > 200").count() == 0
     assert index.where("NOT is_leaf AND bytes <= 200").count() == 0
-    held, index = quadtree.leaves(rows.limit(1), ["id"], [], 1, most_depth=4)  # one feature too heavy for any leaf
-    assert index.where("is_leaf").select(F.max(F.length("path"))).first()[0] == 4
+
+
+@pytest.mark.parametrize("weights", [[6_000_000], [4_000_000] * 5, [6_000_000, *[10] * 40]])
+def test_features_that_cover_the_world_do_not_split_it_for_ever(spark, weights):
+    m = 2_000_000_000
+    rows = spark.createDataFrame([(i, (-m, m, -m, m), w) for i, w in enumerate(weights)], "id long, bbox struct<xmin:int,xmax:int,ymin:int,ymax:int>, bytes bigint")
+    held, index = quadtree.leaves(rows, ["id"], [])
+    assert index.count() == 1 and held.count() == len(weights)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 5])
+def test_cells_of_a_depth_are_those_of_descending(spark, depth):
+    m = 2_003_750_834
+    spots = [(k * 7919 * 1013 % (2 * m) - m, k * 104729 * 997 % (2 * m) - m, k * 37_000_003 % 900_000_000) for k in range(60)]
+    rows = spark.createDataFrame([(i, (x, min(x + w, 2**31 - 1), y, min(y + w // 3, 2**31 - 1))) for i, (x, y, w) in enumerate([*spots, (0, 0, 0), (-m, -m, 2 * m), (m // 2 + 1, 0, 5)])], "id long, bbox struct<xmin:int,xmax:int,ymin:int,ymax:int>")
+    want = quadtree.at_root(rows)
+    for _ in range(depth):
+        want = quadtree.descend(want)
+    assert sorted((r.id, r.path) for r in quadtree.at_depth(rows, depth).collect()) == sorted((r.id, r.path) for r in want.collect())
 
 
 def test_empty_features_have_no_tiles(spark):

@@ -90,10 +90,12 @@ def change_rows(spark, rows):
 
 
 def test_latest_and_applied(spark):
-    state = change_rows(spark, [("create", 1, 1), ("create", 2, 5), ("create", 3, 1)]).drop("change")
+    state = change_rows(spark, [("create", 1, 1), ("create", 2, 5), ("create", 3, 1)])
     new = change_rows(spark, [("modify", 1, 2), ("modify", 1, 3), ("modify", 2, 4), ("delete", 3, 2), ("create", 4, 1)])
-    out = {r.id: r.version for r in changes.applied(state, new).collect()}
-    assert out == {1: 3, 2: 5, 4: 1}
+    after = changes.applied(state, new)
+    assert {r.id: r.version for r in changes.live(after).collect()} == {1: 3, 2: 5, 4: 1}
+    again = changes.applied(after, change_rows(spark, [("modify", 3, 1), ("create", 4, 2)]))
+    assert {r.id: r.version for r in changes.live(again).collect()} == {1: 3, 2: 5, 4: 2}
 
 
 def test_stream_keeps_the_latest(spark, tmp_path):
@@ -105,6 +107,31 @@ def test_stream_keeps_the_latest(spark, tmp_path):
     assert [(r.id, r.version) for r in changes.current(spark, state).collect()] == [(1, 2)]
 
 
+def test_late_changes_do_not_bring_back_what_is_deleted(spark, tmp_path):
+    import os
+
+    source, state, check = (str(tmp_path / x) for x in ("in", "state", "check"))
+    for rows in ([("create", i, 1) for i in range(40)], [("delete", 7, 5), ("modify", 8, 2)], [("modify", 7, 4), ("create", 99, 1)], [("modify", 8, 3)]):
+        change_rows(spark, rows).write.mode("append").parquet(source)
+        changes.stream(spark, source, state, check).awaitTermination()
+    got = {r.id: r.version for r in changes.current(spark, state).collect()}
+    assert got == {i: 3 if i == 8 else 1 for i in [*range(40), 99] if i != 7}
+    kept = [n for n in sorted(os.listdir(state)) if n.isdigit()]
+    buckets = [{b for b in os.listdir(f"{state}/{n}") if b.startswith("bucket=")} for n in kept]
+    assert len(buckets[-1]) == 1 and all(sum(b in own for own in buckets) <= 2 for b in set().union(*buckets))
+
+
+def test_written_files_read_alike_in_either_way(spark, tmp_path, sf_dir):
+    from tessera.sources import bridge
+
+    rows, path = bridge.entities(spark, sf_dir), str(tmp_path / "map")
+    pbf.write(rows, path)
+    as_text = lambda df: sorted(str((r.entity, r.id, r.version, r.lat, r.lng, r.refs, r.members or None, sorted((r.tags or {}).items()))) for r in df.collect())
+    want = as_text(rows)
+    assert as_text(pbf.read(spark, path)) == want and as_text(pbf.read_whole(spark, path)) == want
+    assert as_text(pbf.read(spark, path, split=1000)) == want
+
+
 def test_dirty(spark):
     reverse = spark.createDataFrame([("NODE", 1, "WAY", 5), ("WAY", 5, "RELATION", 9), ("NODE", 2, "WAY", 6)], "target_type string, target_id long, src_type string, src_id long")
     found = changes.dirty(reverse, spark.createDataFrame([("NODE", 1)], "entity string, id long"))
