@@ -1,16 +1,23 @@
 """Exact greatest inner products by dual-tree search over cover trees.
 
-Candidates are dealt to blocks of bounded size by a hash of their id, queries likewise. A task takes
-one candidate block, builds its cover tree, and searches it for the tree of each query block in turn:
-a pair of nodes is left out when no candidate below the one can reach the worst k-th score that any
-query below the other has so far, |<q, c>| being at most <q0, c0> + |q0| rc + |c0| rq + rq rc for
-balls of radii rq and rc. What is left meets in leaves, in whole numbers.
-
-Query blocks are sent to every candidate block, and rows arrive sorted by block, so a task holds one
-block of either kind, whatever the table's size. Each block gives at most k results a query; the k best of these are kept.
-
-Cases: vectors that are null, of another length than most, or with a null or non-finite component
-take no part; a query's own row (its id) is no candidate, whatever rows share the id; ties go to
+Candidates are dealt by the nearest of some pivots, which a bounded sample gives, and pivots with many
+candidates to several blocks. Queries first search one block of their own pivot; with the k-th score
+that gives, they visit those other blocks only whose covering ball can hold a better one, so blocks are
+left out before anything moves.
+
+A task builds the cover tree of a block and searches it for the tree of each group of queries (those of
+one pivot) in turn: a pair of nodes is left out when no candidate below the one can reach the worst k-th
+score that any query below the other has so far, <q, c> being at most <q0, c0> + |q0| rc + |c0| rq +
+rq rc for balls of radii rq and rc. Below a leaf of queries, each query's own product with the centre
+takes the place of the first and third terms. What is left meets in leaves, in whole numbers.
+
+Rows arrive sorted by block and group, so a task holds one block and one group, whatever the table's
+size. Each block gives at most k results a query; the k best of these are kept. How much is left out
+depends on the vectors: tight clusters leave little, while vectors spread evenly over a sphere of many
+dimensions leave out nothing, as no ball of theirs is small.
+
+Cases: vectors that are null or have a null or non-finite component take no part; shorter vectors count
+as followed by zeros; a query's own row (its id) is no candidate, whatever rows share the id; ties go to
 smaller ids; repeated rows count each; fewer candidates than k give fewer rows; an empty table gives
 an empty result; of rows that share a query's id, the least vector asks; columns other than id and
 vector are not read.
@@ -24,76 +31,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import discard, written
+
+#: Rows of a block of candidates and of a group of queries, about.
+CANDIDATES, QUERIES = 1 << 13, 1 << 10
+#: Pivots at most, and vectors that they are chosen from.
+PIVOTS, SAMPLE = 1 << 10, 1 << 12
+#: Points of a leaf of candidates and of queries; children's centres are this part of a node's radius apart.
+LEAF, QUERY_LEAF, SHRINK = 16, 32, 0.7
+#: Points that are scored in one go.
+BATCH = 1 << 10
 
-#: Rows of a block of candidates and of queries, about.
-CANDIDATES, QUERIES = 1 << 16, 1 << 12
-#: Points of a leaf, children of a node at most; children's centres are this part of its radius apart.
-LEAF, FANOUT, SHRINK = 256, 24, 0.7
+
+def _apart(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
+    return np.sqrt(((rows - point) ** 2).sum(1))
 
 
 class CoverTree:
     """Points under nodes, each with a centre among its points and a covering radius.
 
-    Built from the top: centres of a level are further apart than its radius and cover the node.
-    Rows of a node are contiguous in `order`.
+    Built from the top: children's centres are further apart than SHRINK times the node's radius, and
+    each point is no further than that from one. A node's rows are contiguous in `order`, its
+    children's numbers from `first` to `last`.
     """
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points = points
+        self.points, self.leaf = points, leaf
+        self.norms = np.sqrt((points**2).sum(1))
         self.order = np.arange(len(points))
-        #: start, end, radius, children of each node
-        self.start, self.end, self.radius, self.centre, self.children = [], [], [], [], []
-        self.leaf = leaf
-        self._grow(0, len(points))
-
-    def _grow(self, start: int, end: int) -> None:
-        rows = self.points[start:end]
-        middle = rows[int(np.argmin(((rows - rows.mean(0)) ** 2).sum(1)))]
-        todo = [(start, end, -1, middle)]
-        while todo:
-            a, b, parent, centre = todo.pop()
-            node = len(self.start)
-            if parent >= 0:
-                self.children[parent].append(node)
-            own = self.order[a:b]
-            rows = self.points[own]
-            nearest = np.sqrt(((rows - centre) ** 2).sum(1))
-            self.start.append(a), self.end.append(b), self.radius.append(float(nearest.max())), self.centre.append(centre), self.children.append([])
-            if b - a <= self.leaf or self.radius[-1] == 0:
-                continue
-            scale = self.radius[-1] * SHRINK
-            centres, of = [centre], np.zeros(b - a, np.int64)  # a node's centre is one of its children's
-            while len(centres) < FANOUT and nearest.max() > scale:  # the furthest point is the next one
-                far = rows[int(np.argmax(nearest))]
-                dist = np.sqrt(((rows - far) ** 2).sum(1))
-                closer = dist < nearest
-                nearest = np.where(closer, dist, nearest)
-                of[closer] = len(centres)
-                centres.append(far)
-            self.order[a:b] = own[np.argsort(of, kind="stable")]
-            edges = a + np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(centres)))])
-            todo += [(int(x), int(y), node, c) for x, y, c in zip(edges, edges[1:], centres, strict=False) if y > x]
-
-    def ready(self) -> CoverTree:
-        self.start, self.end = np.array(self.start), np.array(self.end)
-        self.radius, self.centre = np.array(self.radius), np.array(self.centre)
+        middle = points[int(np.argmin(_apart(points, points.mean(0))))]
+        nodes = [(0, len(points), middle)]
+        start, end, radius, centre, first, last = [], [], [], [], [], []
+        for a, b, c in nodes:  # grows: a node's children follow all that were known before
+            far = _apart(points[self.order[a:b]], c)
+            start.append(a), end.append(b), radius.append(float(far.max())), centre.append(c), first.append(len(nodes))
+            if b - a > leaf and radius[-1] > 0:
+                nodes += self._cover(a, b, c, far, radius[-1] * SHRINK)
+            last.append(len(nodes))
+        self.start, self.end, self.first, self.last = (np.array(x) for x in (start, end, first, last))
+        self.radius, self.centre = np.array(radius), np.array(centre)
         self.norm = np.sqrt((self.centre**2).sum(1))
-        return self
+
+    def _cover(self, a: int, b: int, centre: np.ndarray, nearest: np.ndarray, scale: float) -> list[tuple[int, int, np.ndarray]]:
+        """Children of rows a to b: the node's centre is one's, then the point furthest from all so far."""
+        own = self.order[a:b]
+        rows = self.points[own]
+        centres, of = [centre], np.zeros(b - a, np.int64)
+        while nearest.max() > scale:
+            point = rows[int(np.argmax(nearest))]
+            far = _apart(rows, point)
+            closer = far < nearest
+            nearest = np.where(closer, far, nearest)
+            of[closer] = len(centres)
+            centres.append(point)
+        self.order[a:b] = own[np.argsort(of, kind="stable")]
+        edges = a + np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(centres)))])
+        return [(int(x), int(y), c) for x, y, c in zip(edges, edges[1:], centres, strict=False) if y > x]
+
+    def is_leaf(self, node):
+        return self.first[node] == self.last[node]
+
+    def rows(self, node: int) -> np.ndarray:
+        return self.order[self.start[node] : self.end[node]]
 
 
 class Best:
-    """The k best (score, id) of each query so far."""
+    """The k best (score, id) of each query so far, none below its floor; counts what was scored."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
         self.scores = np.full((n, k), -np.inf)
         self.ids = np.full((n, k), np.iinfo(np.int64).max)
+        self.floor = np.full(n, -np.inf) if floor is None else floor
+        self.scored = 0
+
+    def worst(self, rows: np.ndarray) -> np.ndarray:
+        return np.maximum(self.scores[rows, -1], self.floor[rows])
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         """Scores of shape (rows, ids); -inf leaves a pair out."""
         k = self.scores.shape[1]
-        worst = self.scores[rows, -1]
-        hopeful = (scores >= worst[:, None]).any(1) & np.isfinite(scores).any(1)
+        self.scored += scores.size
+        hopeful = ((scores >= self.worst(rows)[:, None]) & np.isfinite(scores)).any(1)
         rows, scores = rows[hopeful], scores[hopeful]
         if not len(rows):
             return
@@ -107,34 +125,87 @@ class Best:
 def search(queries: CoverTree, query_ids: np.ndarray, found: CoverTree, ids: np.ndarray, k: int, best: Best | None = None) -> Best:
     """Descends both trees together, likelier children first."""
     best = best or Best(len(query_ids), k)
+    slack = 1e-6
+
+    def meet(rows: np.ndarray, own: np.ndarray) -> None:
+        scores = queries.points[rows] @ found.points[own].T
+        scores[query_ids[rows][:, None] == ids[own][None]] = -np.inf
+        best.add(rows, scores, ids[own])
+
+    def leaves(rows: np.ndarray, kids: np.ndarray, reach: np.ndarray) -> None:
+        """Leaves of candidates, likeliest first, as many at once as make a batch."""
+        by = np.argsort(-reach.max(0), kind="stable")
+        kids, reach, at = kids[by], reach[:, by], 0
+        sizes = found.end[kids] - found.start[kids]
+        while at < len(kids):
+            open_ = reach[:, at:] >= best.worst(rows)[:, None]
+            left = at + np.flatnonzero(open_.any(0))
+            if not len(left):
+                return
+            left = left[: max(1, int(np.searchsorted(np.cumsum(sizes[left]), BATCH, "right")))]
+            asking = rows[(reach[:, left] >= best.worst(rows)[:, None]).any(1)]
+            meet(asking, np.concatenate([found.rows(c) for c in kids[left]]))
+            at = int(left[-1]) + 1
+
     todo = [(0, 0)]
     while todo:
         q, c = todo.pop()
-        rows = queries.order[queries.start[q] : queries.end[q]]
-        reach = queries.centre[q] @ found.centre[c] + queries.norm[q] * found.radius[c] + found.norm[c] * queries.radius[q] + queries.radius[q] * found.radius[c]
-        if reach < best.scores[rows, -1].min() - 1e-6 * (1 + abs(reach)):
+        rows = queries.rows(q)
+        bound = queries.centre[q] @ found.centre[c] + queries.norm[q] * found.radius[c] + found.norm[c] * queries.radius[q] + queries.radius[q] * found.radius[c]
+        if bound < best.worst(rows).min() - slack * (1 + abs(bound)):
             continue
-        below_q, below_c = queries.children[q], found.children[c]
-        if not below_q and not below_c:
-            own = found.order[found.start[c] : found.end[c]]
-            scores = queries.points[rows] @ found.points[own].T
-            scores[query_ids[rows][:, None] == ids[own][None]] = -np.inf
-            best.add(rows, scores, ids[own])
-            continue
-        if below_c and (not below_q or found.radius[c] >= queries.radius[q]):
-            bound = found.centre[below_c] @ queries.centre[q] + queries.norm[q] * found.radius[below_c]
-            todo += [(q, below_c[i]) for i in np.argsort(bound)]
+        if not queries.is_leaf(q) and (found.is_leaf(c) or queries.radius[q] > found.radius[c]):
+            todo += [(x, c) for x in range(queries.first[q], queries.last[q])]
+        elif found.is_leaf(c):
+            meet(rows, found.rows(c))
         else:
-            todo += [(x, c) for x in below_q]
+            kids = np.arange(found.first[c], found.last[c])
+            reach = queries.points[rows] @ found.centre[kids].T + queries.norms[rows][:, None] * found.radius[kids]
+            reach += slack * (1 + np.abs(reach))
+            open_ = (reach >= best.worst(rows)[:, None]).any(0)
+            ends = found.is_leaf(kids)
+            inner = kids[open_ & ~ends]
+            todo += [(q, int(x)) for x in inner[np.argsort(reach[:, open_ & ~ends].max(0), kind="stable")]] if len(inner) else []
+            if (open_ & ends).any():
+                leaves(rows, kids[open_ & ends], reach[:, open_ & ends])
     return best
 
 
+def pivots(sample: np.ndarray, most: int) -> np.ndarray:
+    """Some of the vectors, each the furthest from those before it."""
+    chosen = [0] if len(sample) else []
+    nearest = _apart(sample, sample[0]) if len(sample) else np.empty(0)
+    while len(chosen) < most and len(chosen) < len(sample) and nearest.max() > 0:
+        chosen.append(int(np.argmax(nearest)))
+        nearest = np.minimum(nearest, _apart(sample, sample[chosen[-1]]))
+    return sample[chosen]
+
+
+def assigned(rows: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(id, v, pivot, far): the nearest pivot of each vector, and how far it is."""
+
+    def run(batches):
+        for b in batches:
+            points = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            near, far = np.empty(len(points), np.int32), np.empty(len(points))
+            for k, p in enumerate(points):
+                d = _apart(centres, p)
+                near[k] = np.argmin(d)
+                far[k] = d[near[k]]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(near), pa.array(far)], names=["id", "v", "pivot", "far"])
+
+    return rows.select("id", "v").mapInArrow(run, "id long, v array<double>, pivot int, far double")
+
+
 def clean(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v): whole components floor(scale * x) as doubles, of vectors that take part."""
     v = F.col(vector_col).cast("array<double>")
     fine = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.transform(v, lambda x: F.floor(x * scale).cast("double"))
-    return df.where(F.col(id_col).isNotNull() & fine & (F.size(v) > 0)).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    return df.where(F.col(id_col).isNotNull() & fine).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+
+
+EMPTY = "query_id long, rank int, vec_id long, score long"
 
 
 def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", candidates: int = CANDIDATES, queries: int = QUERIES) -> DataFrame:
@@ -142,24 +213,71 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col:
 
     Sums stay exact: whole components below 2**20 and some thousand of them fit a double.
     """
-    rows = written(clean(df, id_col, vector_col, scale).withColumn("n", F.size("v")))
-    sizes = rows.groupBy("n").count().orderBy(F.desc("count"), "n").limit(1).collect()
-    if not sizes:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rows = rows.where(F.col("n") == sizes[0].n).drop("n")
-    asks = rows.where(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
-    total, asked = rows.count(), asks.count()
-    c_blocks, q_blocks = max(1, -(-total // candidates)), max(1, -(-asked // queries))
-    # Spread over the cores there are: smaller blocks of candidates, as long as trees pay.
-    c_blocks = max(c_blocks, min(rows.sparkSession.sparkContext.defaultParallelism, -(-total // 4096)))
-    spread = F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")
-    block = rows.select(spread.alias("block"), F.lit(-1).alias("asks"), "id", "v")
-    ask = asks.select(F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int").alias("asks"), "id", "v")
+    spark = df.sparkSession
+    rows = written(clean(df, id_col, vector_col, scale))
+    total, length = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("size")).first()
+    if not total:
+        return spark.createDataFrame([], EMPTY)
+    length = max(1, length)  # of empty vectors alone, every product is zero
+    rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(length) - F.size("v"))))
+    drawn = rows.orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(SAMPLE).select("v").toPandas()["v"]
+    # Spread over the cores there are: smaller blocks, as long as trees pay.
+    aim = max(1, min(candidates, max(total // max(1, spark.sparkContext.defaultParallelism), 2048)))
+    centres = pivots(np.stack(drawn.to_numpy()), min(PIVOTS, max(1, -(-total // aim))))
+    placed = written(assigned(rows, centres))
+    asks = written(assigned(rows.where(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v")), centres))
+    # A row a pivot, PIVOTS at most: how many blocks it has, the first one's number, its ball.
+    balls = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).orderBy("pivot").collect()
+    groups = {r.pivot: -(-r.n // queries) for r in asks.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares, radius = np.zeros(len(centres), np.int64), np.zeros(len(centres))
+    for r in balls:
+        shares[r.pivot], radius[r.pivot] = -(-r.n // aim), r.far
+    first = np.cumsum(shares) - shares
+    blocks = int(shares.sum())
+
+    def dealt(pivot, ids, places=0):
+        """Number of the block, of its pivot's, that an id at a place of a batch falls into."""
+        return first[pivot] + (ids * 0x9E3779B1 + places & 0x7FFFFFFF) % np.maximum(shares[pivot], 1)
+
+    def place(batches):
+        for b in batches:
+            n = b.num_rows
+            block = dealt(b.column("pivot").to_numpy(), b.column("id").to_numpy(), np.arange(n))
+            yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(np.full(n, -1, np.int64)), b.column("id"), b.column("v"), pa.array(np.full(n, -np.inf))], names=names)
+
+    def send(others: bool):
+        """Queries to one block of their own pivot, or to all others whose ball reaches their floor."""
+
+        def run(batches):
+            sizes = np.sqrt((centres**2).sum(1))
+            for b in batches:
+                ids, own = b.column("id").to_numpy(), b.column("pivot").to_numpy()
+                points = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+                home = dealt(own, ids)
+                group = own.astype(np.int64) << 32 | np.array([i % groups[p] for i, p in zip(ids.tolist(), own.tolist(), strict=True)], np.int64)
+                floor = b.column("floor").to_numpy(zero_copy_only=False) if others else np.full(len(ids), -np.inf)
+                for k in range(len(ids)):
+                    targets = home[k : k + 1]
+                    if others:
+                        reach = centres @ points[k] + np.sqrt((points[k] ** 2).sum()) * (radius + 1e-9 * (1 + sizes))
+                        fine = np.flatnonzero((shares > 0) & (reach >= floor[k] - 1e-6 * (1 + np.abs(reach))))
+                        targets = np.concatenate([np.empty(0, np.int64), *(np.arange(first[p], first[p] + shares[p]) for p in fine)])
+                        targets = targets[targets != home[k]]
+                    n = len(targets)
+                    if n:
+                        one = np.full(n, k)
+                        yield pa.RecordBatch.from_arrays([pa.array(targets.astype(np.int32)), pa.array(group[one]), pa.array(ids[one]), b.column("v").take(pa.array(one)), pa.array(floor[one])], names=names)
+
+        return run
+
+    names = ["block", "asks", "id", "v", "floor"]
+    schema = "block int, asks long, id long, v array<double>, floor double"
+    block = placed.mapInArrow(place, schema)
 
     def run(key, batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
         tree = None
-        for number, ids, points in _runs(batches):
+        for number, ids, points, floors in _runs(batches):
             if number < 0:
                 held.append((ids, points))
                 continue
@@ -167,14 +285,22 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col:
                 if not held:
                     return
                 all_ids = np.concatenate([i for i, _ in held])
-                tree = CoverTree(np.concatenate([p for _, p in held])).ready()
+                tree = CoverTree(np.concatenate([p for _, p in held]))
                 held = []
-            best = search(CoverTree(points).ready(), ids, tree, all_ids, k)
+            best = search(CoverTree(points, QUERY_LEAF), ids, tree, all_ids, k, Best(len(ids), k, floors))
             seen = np.isfinite(best.scores)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, seen.sum(1))), pa.array(best.ids[seen]), pa.array(best.scores[seen].astype(np.int64))], names=["query_id", "vec_id", "score"])
 
-    both = block.unionByName(ask).repartition(max(c_blocks, 1), "block").sortWithinPartitions("block", "asks")
-    found = both.mapInArrow(lambda batches: _by_block(batches, run), "query_id long, vec_id long, score long")
+    def searched(ask: DataFrame) -> DataFrame:
+        both = block.unionByName(ask).repartition(blocks, "block").sortWithinPartitions("block", "asks")
+        return written(both.mapInArrow(lambda batches: _by_block(batches, run), "query_id long, vec_id long, score long"))
+
+    home = searched(asks.mapInArrow(send(False), schema))
+    floors = home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("least"))
+    floor = F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(float("-inf")))
+    known = asks.join(floors.select(F.col("query_id").alias("id"), floor.alias("floor")), "id", "left").select("id", "v", "pivot", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    found = home.unionByName(searched(known.mapInArrow(send(True), schema)))
+    discard(placed), discard(asks)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -196,15 +322,14 @@ def _by_block(batches, run):
 
 
 def _runs(batches):
-    """(asks, ids, points) of each run of equal asks; candidates (-1) come in pieces."""
+    """(asks, ids, points, floors) of each run of equal asks; candidates (-1) come in pieces."""
     held, number = [], None
 
     def whole():
-        return number, np.concatenate([i for i, _ in held]), np.concatenate([p for _, p in held])
+        return number, *(np.concatenate(x) for x in zip(*held, strict=True))
 
     for b in batches:
-        asks = b.column("asks").to_numpy(zero_copy_only=False)
-        ids = b.column("id").to_numpy(zero_copy_only=False)
+        asks, ids, floors = (b.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "id", "floor"))
         points = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         edges = [0, *(np.flatnonzero(np.diff(asks)) + 1).tolist(), len(asks)]
         for x, y in zip(edges, edges[1:], strict=False):
@@ -212,6 +337,6 @@ def _runs(batches):
                 yield whole()
                 held = []
             number = int(asks[x])
-            held.append((ids[x:y], points[x:y]))
+            held.append((ids[x:y], points[x:y], floors[x:y]))
     if held:
         yield whole()

@@ -223,20 +223,50 @@ def test_top_k_over_blocks_ties_and_odd_rows(spark):
     extra = [(1000, None), (1050, [None] * 8), (1100, [float("nan")] * 8), (1150, [float("inf")] * 8), (1200, [1.0]), (1250, []), (None, [9.0] * 8)]
     df = spark.createDataFrame(rows + extra, "vec_id long, embedding array<float>").withColumn("v", F.lit("clash"))
     got = {tuple(r) for r in topk.top_k(df, 5, 10, candidates=64, queries=8).collect()}
-    assert got == brute_top(np.arange(400), vectors, 5, 10)
+    padded = np.concatenate([vectors, [[1.0] + [0.0] * 7, [0.0] * 8]])
+    assert got == brute_top(np.concatenate([np.arange(400), [1200, 1250]]), padded, 5, 10)
     assert topk.top_k(df.where("vec_id IN (0, 1, 2)"), 5, 50).count() == 2
     assert topk.top_k(df.where("false")).count() == 0
 
 
 def test_cover_tree_covers():
     points = np.random.default_rng(1).normal(size=(700, 4))
-    tree = topk.CoverTree(points, leaf=5).ready()
+    tree = topk.CoverTree(points, leaf=5)
     for k in range(len(tree.start)):
-        own = points[tree.order[tree.start[k] : tree.end[k]]]
+        own = points[tree.rows(k)]
         assert np.sqrt(((own - tree.centre[k]) ** 2).sum(1)).max() <= tree.radius[k] + 1e-9
-        if tree.children[k]:
-            assert sum(tree.end[c] - tree.start[c] for c in tree.children[k]) == len(own)
-            assert any((tree.centre[c] == tree.centre[k]).all() for c in tree.children[k])
+        if not tree.is_leaf(k):
+            kids = range(tree.first[k], tree.last[k])
+            assert sum(tree.end[c] - tree.start[c] for c in kids) == len(own)
+            assert any((tree.centre[c] == tree.centre[k]).all() for c in kids)
+            assert all(tree.radius[c] <= topk.SHRINK * tree.radius[k] + 1e-9 for c in kids)
+            centres = tree.centre[list(kids)]
+            apart = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(-1)) + np.eye(len(centres)) * 1e9
+            assert apart.min() > topk.SHRINK * tree.radius[k]
+
+
+def test_tight_clusters_leave_most_pairs_out():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(200, 64))
+    centres *= 256 / np.sqrt((centres**2).sum(1, keepdims=True))
+    points = np.floor(centres[rng.integers(0, 200, 8000)] + rng.normal(0, 2, (8000, 64)))
+    asks = np.arange(0, 8000, 50)
+    best = topk.search(topk.CoverTree(points[asks], topk.QUERY_LEAF), asks, topk.CoverTree(points), np.arange(8000), 5)
+    products = points[asks] @ points.T
+    products[np.arange(len(asks)), asks] = -np.inf
+    for k in range(len(asks)):
+        assert best.ids[k].tolist() == np.lexsort((np.arange(8000), -products[k]))[:5].tolist()
+    print("scored", best.scored / products.size)
+    assert best.scored < 0.1 * products.size
+
+
+def test_blocks_out_of_reach_are_not_visited(spark):
+    rng = np.random.default_rng(8)
+    centres = np.eye(8) * 100
+    rows = [(i, (centres[i % 8] + rng.normal(0, 0.5, 8)).tolist()) for i in range(4000)] + [(9000 + i, [0.0, 100.0] + [0.0] * 6) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in topk.top_k(df, 5, 100, candidates=300, queries=4).collect()}
+    assert got == brute_top(np.array([i for i, _ in rows]), np.array([v for _, v in rows]), 5, 100)
 
 
 # Shards
