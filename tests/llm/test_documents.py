@@ -196,6 +196,50 @@ def test_odd_rows_are_searched(spark, odd, none):
     assert pii.spans(none).count() == 0 and pii.redacted(none).count() == 0
 
 
+def test_no_bound_cuts_an_entity(spark):
+    run = "q" * 60 + ".long.name"
+    labels = " [dot] ".join(f"label{chr(97 + k)}" for k in range(14))
+    for value in (f"{run} [at] mail [dot] org", "a.b.c.d.e.f.g.h.i.j [at] mail [dot] sub [dot] org", f"me [at] {labels} [dot] com"):
+        text = f"Please write {value} today."
+        assert pii.redact(text, pii.trained()) == "Please write <email> today."
+
+
+@pytest.mark.parametrize("text,value", [("tel 030 1234567", "030 1234567"), ("Tel. 0171/2345678 x", "0171/2345678"), ("call 00 49 30 1234567 now", "00 49 30 1234567")])
+def test_national_numbers(text, value):
+    assert pii.redact(text, pii.trained()) == text.replace(value, "<phone>")
+
+
+@pytest.mark.parametrize("text", ["in version 123.456.7890 it", "the order 1234 5678 9012 3456 came", "on 2021-03-04 at 12:30 there were 1,234,567 people"])
+def test_numbers_of_another_sort(text):
+    assert pii.redact(text, pii.trained()) == text
+
+
+def test_unseen_sentences():
+    for kind, (recall, precision) in pii.measured().items():
+        assert recall >= 0.9 and precision >= 0.9, kind
+
+
+def test_decoding_is_the_best_of_all_segmentations():
+    """Every way to choose candidates that do not overlap, tried one by one."""
+    weights = pii.trained()
+    for text, _ in pii._examples(60, 77):
+        text = text[:60]
+        tokens = pii.tokens_of(text, 0, len(text))
+        own = [(i, j, k, sum(weights[k].get(x, 0.0) for x in names)) for i, j, k, names in pii._lattice(text, tokens)]
+        own = [c for c in own if c[3] > 0]
+        best = {len(tokens): 0.0}
+
+        def most(at):
+            if at not in best:
+                best[at] = max([most(at + 1), *(c[3] + most(c[1]) for c in own if c[0] == at)])
+            return best[at]
+
+        found = {(tokens[i][0], tokens[j - 1][1], k): v for i, j, k, v in own}
+        got = pii.decode(text, 0, len(text), weights)
+        if all((a, b, k) in found for k, a, b in got):  # none went on over more labels
+            assert sum(found[a, b, k] for k, a, b in got) == pytest.approx(most(0))
+
+
 # Top-k
 
 
