@@ -11,6 +11,10 @@ the estimate is safest.
 Measurements are made once for all documents and written; sampling, training and scoring read these
 few numbers.
 
+The sample is drawn by a hash of id and text, rows equal in both once, the least hashes first: it holds
+MOST_POSITIVES and MOST_UNLABELLED rows at most, fewer only where there are no more, and is the same
+however rows are dealt.
+
 Cases: a null or empty text is measured as no words and scored; labels that are null or that differ
 for one id are no trusted positives; without a trusted positive every score is 0.5; an empty table
 gives an empty result; repeated rows are scored each; columns other than id and text, and of labels
@@ -78,18 +82,23 @@ def measure(text: str) -> np.ndarray:
 
 
 def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, x): the measurements of every row."""
+    """(doc_id, h, x): a hash of id and text, and the measurements, of every row."""
 
     def start():
         def work(batch):
-            x = np.stack([measure(t) for t in strings(batch.column(1))])
+            x = np.stack([measure(t) for t in strings(batch.column(2))])
             ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * N_FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=["doc_id", "h", "x"])
 
         return work
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_texts(rows, start, "doc_id long, x array<float>")
+    return map_texts(_hashed(df, id_col, text_col), start, "doc_id long, h long, x array<float>")
+
+
+def _hashed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, text)"""
+    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    return df.select(doc.alias("doc_id"), F.xxhash64(doc, text, F.lit("sample")).alias("h"), text.alias("text"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -182,16 +191,32 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3) ->
 
 
 def _sampled(rows: DataFrame, most: int) -> DataFrame:
-    """About `most` rows at most, by a hash of the id: the same ones each time."""
-    n = rows.count()
-    return rows if n <= most else rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * most / n))
+    """The rows with the `most` least hashes: a number reaches the driver, no row."""
+    least = rows.select("h").distinct().orderBy("h").limit(most).agg(F.max("h").alias("h")).first().h
+    return rows.where(F.col("h") <= F.lit(least).cast("long"))
 
 
-def _matrix(rows: DataFrame) -> np.ndarray:
-    x = np.array([r.x for r in rows.select("doc_id", "x").orderBy("doc_id", "x").toLocalIterator()], np.float64)
+def _matrix(rows: DataFrame, most: int) -> np.ndarray:
+    """Measurements of the sample, equal rows once: `most` at most."""
+    own = (rows if "x" in rows.columns else measured_rows(rows)).groupBy("h").agg(F.min("x").alias("x"))
+    x = np.array([r.x for r in own.orderBy("h").limit(most).collect()], np.float64)
     return x.reshape(-1, N_FEATURES)
 
 
+def measured_rows(rows: DataFrame) -> DataFrame:
+    """(h, x) of rows (doc_id, h, text)."""
+
+    def start():
+        def work(batch):
+            x = np.stack([measure(t) for t in strings(batch.column(1))])
+            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * N_FEATURES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=["h", "x"])
+
+        return work
+
+    return map_texts(rows.select("h", "text"), start, "h long, x array<float>")
+
+
 def _learn(positive: np.ndarray, unlabelled: np.ndarray) -> Network | None:
     if not len(positive) or not len(unlabelled):
         return None
@@ -199,15 +224,15 @@ def _learn(positive: np.ndarray, unlabelled: np.ndarray) -> Network | None:
 
 
 def fit(rows: DataFrame, labels: DataFrame, most_positives: int = MOST_POSITIVES, most_unlabelled: int = MOST_UNLABELLED) -> Network | None:
-    """The model of labels (doc_id, quality) and rows with doc_id and either x, measured already, or
+    """The model of labels (doc_id, quality) and rows with doc_id, h and either x, measured already, or
     text, of which then only the sampled rows are measured. None without a trusted positive.
     """
     seen = rows.where(~held_out(F.col("doc_id")))
     named = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
     # Bounded by the parameter, so broadcast: no text moves for it, however many documents there are.
     trusted = named.where("lo = 1 AND hi = 1").orderBy(F.xxhash64(F.col("doc_id"), F.lit("sample")), "doc_id").limit(most_positives).select("doc_id")
-    drawn = [seen.join(F.broadcast(trusted), "doc_id", "left_semi"), _sampled(seen, most_unlabelled)]
-    return _learn(*(_matrix(r if "x" in rows.columns else measured(r)) for r in drawn))
+    good = seen.join(F.broadcast(trusted), "doc_id", "left_semi")
+    return _learn(_matrix(_sampled(good, most_positives), most_positives), _matrix(_sampled(seen, most_unlabelled), most_unlabelled))
 
 
 def score(features: DataFrame, net: Network | None) -> DataFrame:
@@ -215,7 +240,7 @@ def score(features: DataFrame, net: Network | None) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            x = np.array(b.column(1).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, N_FEATURES)
+            x = np.array(b.column("x").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, N_FEATURES)
             s = net.score(x) if net else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], names=["doc_id", "score"])
 
@@ -232,7 +257,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def accepted(df: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of df (doc_id, text, any others) that the model predicts to be good, as they are."""
     small_batches(df.sparkSession)
-    net = fit(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), labels)
+    net = fit(_hashed(df, "doc_id", text_col), labels)
     at = df.columns.index(text_col)
 
     def run(batches):
