@@ -5,7 +5,9 @@ from the key and the child's name, and the least draw wins. A child's draws depe
 its own name and weight, so a changed weight moves keys only into or out of that subtree. A weight
 is the sum of the weights below it.
 
-Growing by a shard opens a region of its own for it: keys move into the new shard and nowhere else.
+A tree starts with some shards, dealt evenly to regions and racks whatever their number. Each shard
+added later opens a region of its own: keys move into the new shard and nowhere else. (In a rack, its
+weight would also draw keys into its neighbours.)
 
 Cases: null keys take the same place each time; equal keys share a shard; an empty table gives an
 empty result; columns that are not named are not read.
@@ -20,8 +22,6 @@ from pyspark.sql import functions as F
 
 from .common import buckets_for, numbered
 
-#: Shards that the first two regions, of two racks each, hold between them; later ones get regions.
-FIRST = 8
 
 
 @dataclass(frozen=True)
@@ -38,23 +38,27 @@ class Node:
         return sum(c.weight for c in self.children) if self.children else self.own
 
 
-def topology(shards: int, weights: list[float] | None = None) -> Node:
-    """The tree of `shards` shards: FIRST in 2 regions x 2 racks, each further one in its own region."""
-    weights = weights or [1.0] * shards
+def topology(shards: int, weights: list[float] | None = None, first: int | None = None) -> Node:
+    """The tree of `shards` shards: the `first` of them (all, by default) in as many regions as a region
+    has racks and a rack shards, about; each further one in a region of its own."""
+    weights, first = weights or [1.0] * shards, min(shards, first or shards)
+    wide = 1
+    while wide**3 < first:
+        wide += 1
 
     def leaf(i):
         return Node(f"shard-{i}", weights[i], shard=i)
 
-    def rack(region, k, numbers):
-        return Node(f"region-{region}/rack-{k}", children=tuple(leaf(i) for i in numbers))
+    def split(numbers):
+        """Runs of numbers, as even as can be."""
+        n = min(wide, len(numbers))
+        return [numbers[k * len(numbers) // n : (k + 1) * len(numbers) // n] for k in range(n)]
+
+    def region(r, racks):
+        return Node(f"region-{r}", children=tuple(Node(f"region-{r}/rack-{k}", children=tuple(map(leaf, own))) for k, own in enumerate(racks)))
 
-    half, quarter = FIRST // 2, FIRST // 4
-    regions = []
-    for r in range(2):
-        racks = [rack(r, k, own) for k in range(2) if (own := [i for i in range(r * half + k * quarter, r * half + (k + 1) * quarter) if i < shards])]
-        if racks:
-            regions.append(Node(f"region-{r}", children=tuple(racks)))
-    regions += [Node(f"region-{i - FIRST + 2}", children=(rack(i - FIRST + 2, 0, [i]),)) for i in range(FIRST, shards)]
+    regions = [region(r, split(own)) for r, own in enumerate(split(list(range(first))))]
+    regions += [region(len(regions) + k, [[i]]) for k, i in enumerate(range(first, shards))]
     return Node("root", children=tuple(regions))
 
 
@@ -99,7 +103,7 @@ def deal(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "te
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(F.encode(text, "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),
         shard_column(key, topology(shards, weights)).alias("shard"),
-        shard_column(key, topology(shards + 1, [*weights, 1.0])).alias("grown_shard"),
+        shard_column(key, topology(shards + 1, [*weights, 1.0], shards)).alias("grown_shard"),
     )
     many = buckets_for(df.count() if rows is None else rows)
     return numbered(small, ["shard"], F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(many)), [F.col(c) for c in ("doc_id", "text_crc32", "size")])
