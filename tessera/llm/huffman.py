@@ -1,7 +1,8 @@
 """Token ids as canonical length-limited Huffman codes.
 
 One code book serves a dataset: lengths come from global id counts by package-merge, codes are
-canonical, so the lengths alone are stored. A file is a run of independent blocks. A block holds
+canonical, so the lengths alone are stored, as a table beside the blocks: a dataset is read with nothing
+but its folder. A file is a run of independent blocks. A block holds
 some documents, each starting at a whole byte, and a bit offset for every CHECKPOINT ids; decoding
 looks 2**LIMIT-entry tables up, at all checkpoints of a block side by side. Spark's own writer
 commits the files, so a lost executor or a second attempt leaves no part of a file behind, on any
@@ -35,6 +36,10 @@ LIMIT = 16
 CHECKPOINT = 128
 #: Ids of a block and of a file, about.
 BLOCK_IDS, FILE_IDS = 1 << 17, 1 << 22
+#: Files at most: beyond, files grow. Bins that documents are counted in, for each file.
+MOST_FILES, BINS = 1 << 14, 4
+#: Folders of a dataset.
+BLOCKS, BOOK = "blocks", "book"
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -199,19 +204,41 @@ def id_counts(tokens: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def write(tokens: DataFrame, path: str, size: int) -> np.ndarray:
-    """Writes the blocks of (doc_id, n_tokens, crc, ids) below path; returns the code lengths.
+def _bounds(tokens: DataFrame, place, files: int) -> np.ndarray:
+    """Where files end, so that each holds about as many ids: documents are counted in BINS quantiles a
+    file, and the ids of these decide. A bounded number of figures reaches the driver."""
+    n = BINS * files
+    cuts = [i / n for i in range(1, n)]
+    found = tokens.agg(F.percentile_approx(place, cuts, max(10_000, 4 * n)).alias("q")).first().q if files > 1 else None
+    edges = np.unique(np.array(found or [], np.float64))
+    if not len(edges):
+        return edges
 
-    tokens is read twice; pass a written table.
+    def count(batches):
+        total = np.zeros(len(edges) + 1, np.int64)
+        for b in batches:
+            np.add.at(total, np.searchsorted(edges, b.column("place").to_numpy(), "left"), b.column("n_tokens").to_numpy())
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["bin", "n"])
+
+    sums = np.zeros(len(edges) + 1, np.int64)
+    for r in tokens.select(place.alias("place"), "n_tokens").mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        sums[r.bin] = r.n
+    file = (np.cumsum(sums) - sums) * files // max(1, int(sums.sum()))
+    return edges[np.flatnonzero(np.diff(file))]
+
+
+def write(tokens: DataFrame, path: str, size: int) -> None:
+    """Writes the blocks of (doc_id, n_tokens, crc, ids) and their code lengths below path.
+
+    tokens is read four times; pass a written table.
     """
     counts = id_counts(tokens, size)
     lengths, kind = code_lengths(counts), id_type(size)
-    files = max(1, -(-int(counts.sum()) // FILE_IDS))
-
+    files = min(MOST_FILES, max(1, -(-int(counts.sum()) // FILE_IDS)))
     place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))) + F.col("crc") / float(1 << 32)
-    cuts = [i / files for i in range(1, files)]
-    found = tokens.agg(F.percentile_approx(place, cuts, max(10_000, 20 * files)).alias("q")).first().q if cuts else None
-    bounds = np.array(found or [], np.float64)
+    bounds = _bounds(tokens, place, files)
+    files = len(bounds) + 1
 
     def compress(batches):
         book = Codebook(lengths)
@@ -236,16 +263,28 @@ def write(tokens: DataFrame, path: str, size: int) -> np.ndarray:
     coded = tokens.withColumn("place", place).mapInArrow(compress, "file int, doc_id long, n_tokens int, crc long, marks binary, bits binary")
     keys = [F.asc_nulls_first("doc_id"), F.col("crc"), F.col("n_tokens")]
     ordered = coded.repartitionById(files, F.col("file")).sortWithinPartitions(*keys)
-    ordered.mapInArrow(blocks, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
-    return lengths
+    ordered.mapInArrow(blocks, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(f"{path}/{BLOCKS}")
+    book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
+    tokens.sparkSession.createDataFrame([*book, (-1, size)], "id int, length int").coalesce(1).write.parquet(f"{path}/{BOOK}")
+
 
+def code_book(spark: SparkSession, path: str) -> np.ndarray:
+    """The code lengths of a dataset: as many numbers as the vocabulary has."""
+    found = {r.id: r.length for r in spark.read.parquet(f"{path}/{BOOK}").collect()}
+    out = np.zeros(found.pop(-1), np.uint8)
+    for i, n in found.items():
+        out[i] = n
+    return out
 
-def read(spark: SparkSession, path: str, lengths: np.ndarray) -> DataFrame:
+
+def read(spark: SparkSession, path: str) -> DataFrame:
     """(file, doc_id, at, n_tokens, ids): documents of the files below path; at counts in a file.
 
     ids: little-endian unsigned 32-bit integers.
     """
 
+    lengths = code_book(spark, path)
+
     def parse(batches):
         book = Codebook(lengths)
         for b in batches:
@@ -257,7 +296,7 @@ def read(spark: SparkSession, path: str, lengths: np.ndarray) -> DataFrame:
                     before = int(at[-1])
                     yield pa.RecordBatch.from_arrays([pa.array([number] * len(docs), pa.int64()), pa.array(docs, pa.int64()), pa.array(at[:-1], pa.int64()), pa.array(sizes, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["file", "doc_id", "at", "n_tokens", "ids"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/{BLOCKS}")
     numbered = files.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("long").alias("file"), "content")
     return numbered.mapInArrow(parse, "file long, doc_id long, at long, n_tokens long, ids binary")
 
@@ -279,6 +318,6 @@ def round_trip(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str
     size = max(bpe(tokenizer_path).size, end_id + 1)
     path = shared_dir(spark)
     tokens = written(tokenise(df, tokenizer_path, end_id, id_col, text_col))
-    lengths = write(tokens, path, size)
+    write(tokens, path, size)
     discard(tokens)
-    return read(spark, path, lengths)
+    return read(spark, path)

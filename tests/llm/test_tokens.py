@@ -208,3 +208,18 @@ def test_columns_with_other_names(spark):
     df = spark.createDataFrame([(1, "a b c")], "k long, body string").withColumn("ids", F.lit(0))
     assert sp.encode(df, MODEL, "k", "body").first().id == 1
     assert packing.pack(df, path("byte_bpe_50k.json"), id_col="k", text_col="body").first().doc_id == 1
+
+
+def test_a_dataset_is_read_by_its_folder_alone(spark, tmp_path, docs, monkeypatch):
+    df = spark.createDataFrame(docs + [(10**6, "word " * 30000)], "doc_id long, text string")
+    monkeypatch.setattr(huffman, "FILE_IDS", 20_000)
+    tokens = huffman.written(huffman.tokenise(df, path("word_bpe_49k.json"), 1))
+    huffman.write(tokens, str(tmp_path / "ids"), 1 << 16)
+    back = {r.doc_id: r for r in huffman.read(spark, str(tmp_path / "ids")).collect()}
+    want = {r.doc_id: bytes(r.ids) for r in tokens.collect()}
+    assert {i: bytes(np.frombuffer(r.ids, "<u4").astype("<u2").tobytes()) for i, r in back.items()} == want
+    sizes = {}
+    for r in back.values():
+        sizes[r.file] = sizes.get(r.file, 0) + r.n_tokens
+    longest = max(r.n_tokens for r in back.values())
+    assert len(sizes) > 2 and sorted(sizes.values())[-1] <= longest + 40_000 and all(v <= 60_000 for f, v in sizes.items() if f != back[10**6].file)
