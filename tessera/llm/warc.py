@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,8 +76,9 @@ def _record(kind: str | Column, headers: list[tuple[str, Column | str]], body: C
     return F.concat(head, body, F.lit(END + "\r"))
 
 
-def write(pages: DataFrame, path: str, least: int = LEAST_PAYLOAD, date: str = "2020-01-01T00:00:00Z", compression: str = "gzip") -> None:
-    """Archives of pages (page_id, url, html) below path."""
+def write(pages: DataFrame, path: str, least: int = LEAST_PAYLOAD, date: str | None = None, compression: str = "gzip") -> None:
+    """Archives of pages (page_id, url, html) below path; date: of the captures, in UTC, now by default."""
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = decide(pages, least)
     page, digest, copy, keeper = (F.col(c) for c in ("page_id", "digest", "copy", "keeper"))
     revisit = keeper.isNotNull()
