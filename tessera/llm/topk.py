@@ -1,9 +1,9 @@
 """Exact greatest inner products by dual-tree search over cover trees.
 
 Candidates are dealt by the nearest of some pivots, which a bounded sample gives, and pivots with many
-candidates to several blocks. Queries first search one block of their own pivot; with the k-th score
-that gives, they visit those other blocks only whose covering ball can hold a better one, so blocks are
-left out before anything moves.
+candidates to several blocks. Products with one block of a query's own pivot give its floor, a k-th score
+that it has at least; it visits those blocks only whose covering ball can reach that, so blocks are left
+out before anything moves.
 
 A task builds the cover tree of a block and searches it for the tree of each group of queries (those of
 one pivot) in turn: a pair of nodes is left out when no candidate below the one can reach the worst k-th
@@ -43,6 +43,10 @@ LEAF, QUERY_LEAF, SHRINK = 16, 32, 0.7
 BATCH = 1 << 10
 
 
+#: A node whose cover takes more than this part of its points is a leaf: no ball in it is small.
+MOST_CENTRES = 0.25
+
+
 def _apart(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
     return np.sqrt(((rows - point) ** 2).sum(1))
 
@@ -66,7 +70,7 @@ class CoverTree:
             far = _apart(points[self.order[a:b]], c)
             start.append(a), end.append(b), radius.append(float(far.max())), centre.append(c), first.append(len(nodes))
             if b - a > leaf and radius[-1] > 0:
-                nodes += self._cover(a, b, c, far, radius[-1] * SHRINK)
+                nodes += self._cover(a, b, c, far, radius[-1] * SHRINK)  # none: a leaf
             last.append(len(nodes))
         self.start, self.end, self.first, self.last = (np.array(x) for x in (start, end, first, last))
         self.radius, self.centre = np.array(radius), np.array(centre)
@@ -75,15 +79,18 @@ class CoverTree:
     def _cover(self, a: int, b: int, centre: np.ndarray, nearest: np.ndarray, scale: float) -> list[tuple[int, int, np.ndarray]]:
         """Children of rows a to b: the node's centre is one's, then the point furthest from all so far."""
         own = self.order[a:b]
-        rows = self.points[own]
+        rows, norms = self.points[own], self.norms[own] ** 2
         centres, of = [centre], np.zeros(b - a, np.int64)
         while nearest.max() > scale:
-            point = rows[int(np.argmax(nearest))]
-            far = _apart(rows, point)
+            if len(centres) >= MOST_CENTRES * (b - a):
+                return []
+            k = int(np.argmax(nearest))
+            far = np.sqrt(np.maximum(norms - 2 * (rows @ rows[k]) + norms[k], 0))
+            far[k] = 0
             closer = far < nearest
             nearest = np.where(closer, far, nearest)
             of[closer] = len(centres)
-            centres.append(point)
+            centres.append(rows[k])
         self.order[a:b] = own[np.argsort(of, kind="stable")]
         edges = a + np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(centres)))])
         return [(int(x), int(y), c) for x, y, c in zip(edges, edges[1:], centres, strict=False) if y > x]
@@ -115,6 +122,8 @@ class Best:
         rows, scores = rows[hopeful], scores[hopeful]
         if not len(rows):
             return
+        some = (scores >= self.worst(rows)[:, None]).any(0)
+        scores, ids = scores[:, some], ids[some]
         all_scores = np.concatenate([self.scores[rows], scores], 1)
         all_ids = np.concatenate([self.ids[rows], np.where(np.isfinite(scores), ids[None], np.iinfo(np.int64).max)], 1)
         by = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
@@ -128,24 +137,18 @@ def search(queries: CoverTree, query_ids: np.ndarray, found: CoverTree, ids: np.
     slack = 1e-6
 
     def meet(rows: np.ndarray, own: np.ndarray) -> None:
-        scores = queries.points[rows] @ found.points[own].T
-        scores[query_ids[rows][:, None] == ids[own][None]] = -np.inf
-        best.add(rows, scores, ids[own])
+        for at in range(0, len(own), BATCH):
+            part = own[at : at + BATCH]
+            scores = queries.points[rows] @ found.points[part].T
+            scores[query_ids[rows][:, None] == ids[part][None]] = -np.inf
+            best.add(rows, scores, ids[part])
 
     def leaves(rows: np.ndarray, kids: np.ndarray, reach: np.ndarray) -> None:
-        """Leaves of candidates, likeliest first, as many at once as make a batch."""
-        by = np.argsort(-reach.max(0), kind="stable")
-        kids, reach, at = kids[by], reach[:, by], 0
-        sizes = found.end[kids] - found.start[kids]
-        while at < len(kids):
-            open_ = reach[:, at:] >= best.worst(rows)[:, None]
-            left = at + np.flatnonzero(open_.any(0))
-            if not len(left):
-                return
-            left = left[: max(1, int(np.searchsorted(np.cumsum(sizes[left]), BATCH, "right")))]
-            asking = rows[(reach[:, left] >= best.worst(rows)[:, None]).any(1)]
-            meet(asking, np.concatenate([found.rows(c) for c in kids[left]]))
-            at = int(left[-1]) + 1
+        """Leaves of candidates, likeliest first, each for the queries that it can still serve."""
+        for at in np.argsort(-reach.max(0), kind="stable").tolist():
+            asking = rows[reach[:, at] >= best.worst(rows)]
+            if len(asking):
+                meet(asking, found.rows(kids[at]))
 
     todo = [(0, 0)]
     while todo:
@@ -187,11 +190,8 @@ def assigned(rows: DataFrame, centres: np.ndarray) -> DataFrame:
     def run(batches):
         for b in batches:
             points = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            near, far = np.empty(len(points), np.int32), np.empty(len(points))
-            for k, p in enumerate(points):
-                d = _apart(centres, p)
-                near[k] = np.argmin(d)
-                far[k] = d[near[k]]
+            near = np.argmin((centres**2).sum(1) - 2 * (points @ centres.T), 1).astype(np.int32)
+            far = np.sqrt(((points - centres[near]) ** 2).sum(1))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(near), pa.array(far)], names=["id", "v", "pivot", "far"])
 
     return rows.select("id", "v").mapInArrow(run, "id long, v array<double>, pivot int, far double")
@@ -245,8 +245,8 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col:
             block = dealt(b.column("pivot").to_numpy(), b.column("id").to_numpy(), np.arange(n))
             yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(np.full(n, -1, np.int64)), b.column("id"), b.column("v"), pa.array(np.full(n, -np.inf))], names=names)
 
-    def send(others: bool):
-        """Queries to one block of their own pivot, or to all others whose ball reaches their floor."""
+    def send(everywhere: bool):
+        """Queries to one block of their own pivot, or to all whose ball reaches their floor."""
 
         def run(batches):
             sizes = np.sqrt((centres**2).sum(1))
@@ -255,14 +255,13 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col:
                 points = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
                 home = dealt(own, ids)
                 group = own.astype(np.int64) << 32 | np.array([i % groups[p] for i, p in zip(ids.tolist(), own.tolist(), strict=True)], np.int64)
-                floor = b.column("floor").to_numpy(zero_copy_only=False) if others else np.full(len(ids), -np.inf)
+                floor = b.column("floor").to_numpy(zero_copy_only=False) if everywhere else np.full(len(ids), -np.inf)
                 for k in range(len(ids)):
                     targets = home[k : k + 1]
-                    if others:
+                    if everywhere:
                         reach = centres @ points[k] + np.sqrt((points[k] ** 2).sum()) * (radius + 1e-9 * (1 + sizes))
                         fine = np.flatnonzero((shares > 0) & (reach >= floor[k] - 1e-6 * (1 + np.abs(reach))))
                         targets = np.concatenate([np.empty(0, np.int64), *(np.arange(first[p], first[p] + shares[p]) for p in fine)])
-                        targets = targets[targets != home[k]]
                     n = len(targets)
                     if n:
                         one = np.full(n, k)
@@ -274,33 +273,45 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col:
     schema = "block int, asks long, id long, v array<double>, floor double"
     block = placed.mapInArrow(place, schema)
 
-    def run(key, batches):
+    def gathered(batches):
+        """(ids, points) of a block, then each group of queries."""
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        tree = None
         for number, ids, points, floors in _runs(batches):
             if number < 0:
                 held.append((ids, points))
                 continue
+            if held:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True)), (ids, points, floors)
+
+    def seed(key, batches):
+        """The k-th best product of each query in the block, where there are k."""
+        for (all_ids, block_points), (ids, points, _) in gathered(batches):
+            best = Best(len(ids), k)
+            rows_ = np.arange(len(ids))
+            for at in range(0, len(all_ids), BATCH):
+                scores = points @ block_points[at : at + BATCH].T
+                scores[ids[:, None] == all_ids[at : at + BATCH][None]] = -np.inf
+                best.add(rows_, scores, all_ids[at : at + BATCH])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(best.scores[:, -1])], names=["id", "floor"])
+
+    def run(key, batches):
+        tree = all_ids = None
+        for (now, block_points), (ids, points, floors) in gathered(batches):
             if tree is None:
-                if not held:
-                    return
-                all_ids = np.concatenate([i for i, _ in held])
-                tree = CoverTree(np.concatenate([p for _, p in held]))
-                held = []
+                all_ids, tree = now, CoverTree(block_points)
             best = search(CoverTree(points, QUERY_LEAF), ids, tree, all_ids, k, Best(len(ids), k, floors))
             seen = np.isfinite(best.scores)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, seen.sum(1))), pa.array(best.ids[seen]), pa.array(best.scores[seen].astype(np.int64))], names=["query_id", "vec_id", "score"])
 
-    def searched(ask: DataFrame) -> DataFrame:
+    def visited(ask: DataFrame, work, out: str) -> DataFrame:
         both = block.unionByName(ask).repartition(blocks, "block").sortWithinPartitions("block", "asks")
-        return written(both.mapInArrow(lambda batches: _by_block(batches, run), "query_id long, vec_id long, score long"))
-
-    home = searched(asks.mapInArrow(send(False), schema))
-    floors = home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("least"))
-    floor = F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(float("-inf")))
-    known = asks.join(floors.select(F.col("query_id").alias("id"), floor.alias("floor")), "id", "left").select("id", "v", "pivot", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
-    found = home.unionByName(searched(known.mapInArrow(send(True), schema)))
-    discard(placed), discard(asks)
+        return written(both.mapInArrow(lambda batches: _by_block(batches, work), out))
+
+    floors = visited(asks.mapInArrow(send(False), schema), seed, "id long, floor double")
+    known = asks.join(floors, "id", "left").select("id", "v", "pivot", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    found = visited(known.mapInArrow(send(True), schema), run, "query_id long, vec_id long, score long")
+    for table in (placed, asks, floors):
+        discard(table)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
