@@ -326,8 +326,8 @@ def _texts(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(once.join(nodes, "node", "left_semi"))
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """(a, b) of similar nodes, enough to connect all such. texts: (node, text), repeats allowed."""
+def groups(texts: DataFrame) -> DataFrame:
+    """(node, root) of every node of texts: (node, text), repeats allowed, that is no root of its group."""
     profiles = _profiles(texts)
     prints = _near_prints(profiles)
     members, shapes = _groups(profiles)
@@ -338,15 +338,15 @@ def links(texts: DataFrame) -> DataFrame:
     # A node of any pair within the bound has a link in a forest, if its group is one block.
     known = first.select(F.col("a").alias("node")).union(first.select("b")).union(members.where("blocks > 1").select("node"))
     whole = _texts(texts, known.distinct())
-    found = _verified(first, whole)
-    labels = components(found).select(F.col("u").alias("node"), F.col("root").alias("label"))
+    labels = components(_verified(first, whole)).select(F.col("u").alias("node"), F.col("root").alias("label"))
     rest = written(_pairs(_labelled(members, labels), shapes, False).join(first, ["a", "b"], "left_anti"))
-    out = found.unionByName(_verified(rest, whole))
+    # What the forests connected is known: only the links between their components are followed again.
+    later = _verified(rest, whole)
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), "label")
+        later = later.join(own, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    joined = components(later).select(F.col("u").alias("label"), "root")
     for table in (members, shapes, first, whole, rest):
         discard(table)
-    return out
-
-
-def groups(texts: DataFrame) -> DataFrame:
-    """(node, root) of every node of texts that is no root of its group."""
-    return components(links(texts)).select(F.col("u").alias("node"), "root")
+    met = labels.join(joined, "label", "left").select("node", F.coalesce("root", "label").alias("root"))
+    return met.unionByName(joined.withColumnRenamed("label", "node"))  # roots so far: no node of labels
