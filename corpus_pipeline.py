@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from public_tokenizers import path
 
 from tessera.llm import packing, pii, quality, rules, similar
-from tessera.llm.common import shared_dir, table, written
+from tessera.llm.common import discard, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -80,10 +80,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over the documents of sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over the documents of sf_dir; a stage's table goes once the next is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
-        out = shared_dir(spark)
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
