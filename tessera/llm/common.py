@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.storage import fresh
+
 #: Rows of an Arrow batch. Batches count rows, not bytes: at Spark's 10,000, whole texts make tens of
 #: MB outside the heap, several times for each task.
 BATCH_ROWS = 2000
@@ -31,18 +32,8 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the checkpoint folder, which driver and executors share.
-
-    Uses the folder of the session; sets one (for local tests) only where none is set.
-    """
-    sc = spark.sparkContext
-    top = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not top:
-        import tempfile
-
-        top = tempfile.mkdtemp(prefix="checkpoint-")
-        sc.setCheckpointDir(top)
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder below the checkpoint folder, which driver and executors share."""
+    return fresh(spark)
 
 
 def written(df: DataFrame) -> DataFrame:
