@@ -15,7 +15,8 @@ components, without listing all pairs of a group.
 
 A group of more than MOST nodes is dealt to blocks: each block's forest holds the group's least node
 too, and afterwards the nodes outside the group's largest component visit every block. A task holds
-one block, whatever a group's size.
+one block, whatever a group's size. Shingles common in the sample are counted by partial sums and
+never dealt by shingle alone, so no task holds all rows of one. One that the sample missed still is.
 
 Cases: a null text counts as empty; texts without a word are one group; a text shorter than a shingle
 is one shingle; case and the kind of ASCII white space do not count; an empty table has no group.
@@ -37,6 +38,8 @@ from .components import components
 WORDS = 5
 #: Texts whose shingles are counted for the order, about, and how many frequent shingles are kept.
 SAMPLE, FREQUENT = 40_000, 200_000
+#: A shingle is common that holds more than one in so many sampled texts.
+COMMON = 256
 #: Parity bits of a set at least; larger sets have the power of two at or above their size.
 PARITY = 1024
 #: Nodes of a block, about.
@@ -96,14 +99,16 @@ def parity(own: np.ndarray) -> bytes:
 
 
 def _profiles(texts: DataFrame) -> DataFrame:
-    """(node, fp, size, parity, tokens) of texts: (node, text); a node may come again from another task."""
+    """(node, fp, size, parity, tokens, common) of texts: (node, text); a node may come again from another
+    task. The prefix is tokens and common, the shingles that many texts hold."""
     frequent, ranks = _frequent(texts)
+    known = frequent[ranks > SAMPLE // COMMON]
 
     def start():
         seen: set[int] = set()
 
         def work(batch):
-            rows, fps, sizes, parities, tokens = [], [], [], [], []
+            rows, fps, sizes, parities, tokens, common = [], [], [], [], [], []
             for k, (node, text) in enumerate(zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True)):
                 if node in seen:
                     continue
@@ -116,17 +121,23 @@ def _profiles(texts: DataFrame) -> DataFrame:
                 fps.append(simhash.majority(every))
                 sizes.append(len(own))
                 parities.append(parity(own))
-                tokens.append(prefix(own, frequent, ranks).view(np.int64))
+                first = prefix(own, frequent, ranks)
+                wide = np.isin(first, known)
+                tokens.append(first[~wide].view(np.int64))
+                common.append(first[wide].view(np.int64))
             if not rows:
                 return
-            ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(tokens)))
             fp = pa.array(np.array(fps, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), fp, pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), lists], names=["node", "fp", "size", "parity", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), fp, pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), _lists(tokens), _lists(common)], names=["node", "fp", "size", "parity", "tokens", "common"])
 
         return work
 
-    return written(map_texts(texts, start, "node long, fp long, size int, parity binary, tokens array<bigint>"))
+    return written(map_texts(texts, start, "node long, fp long, size int, parity binary, tokens array<bigint>, common array<bigint>"))
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
 
 
 def _near_prints(profiles: DataFrame) -> DataFrame:
@@ -143,25 +154,32 @@ def _near_prints(profiles: DataFrame) -> DataFrame:
 
 
 def _groups(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(token, block, blocks, node): nodes, two at least, whose prefixes hold a shingle; and
+    """(token, n, block, blocks, node): nodes, n and two at least, whose prefixes hold a shingle; and
     (node, size, parity) of these.
 
-    Shingles that the same nodes hold (by number and two checksums of the nodes) count once.
+    Shingles that the same nodes hold (by number and two checksums of the nodes) count once, among the
+    common ones and among the others. Common ones are FREQUENT at most, so what is known of each is
+    broadcast.
     """
     single = profiles.select(F.explode("tokens").alias("token"), "node").repartition("token").dropDuplicates(["token", "node"])
     w = Window.partitionBy("token")
-    facts = (F.count(F.lit(1)).over(w).alias("n"), F.bit_xor("node").over(w).alias("x"), F.bit_xor(F.xxhash64("node")).over(w).alias("y"))
-    met = written(single.select("token", "node", *facts).where("n > 1"))
+    facts = {"n": F.count(F.lit(1)), "x": F.bit_xor("node"), "y": F.bit_xor(F.xxhash64("node"))}
+    met = written(single.select("token", "node", *[f.over(w).alias(c) for c, f in facts.items()]).where("n > 1"))
     once = met.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token")
-    blocks = F.ceil(F.col("n") / MOST).cast("int").alias("blocks")
-    rows = met.join(once, "token", "left_semi").select("token", blocks, "node")
-    dealt = rows.select("token", F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int").alias("block"), "blocks", "node")
-    heads = rows.where("blocks > 1").groupBy("token", "blocks").agg(F.min("node").alias("node"))
-    heads = heads.select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "blocks", "node")
+    common = written(profiles.select(F.explode("common").alias("token"), "node").distinct())
+    counted = common.groupBy("token").agg(*[f.alias(c) for c, f in facts.items()]).where("n > 1")
+    counted = counted.groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n")
+    rows = met.join(once, "token", "left_semi").select("token", "n", "node")
+    rows = rows.unionByName(common.join(F.broadcast(counted), "token").select("token", "n", "node"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / MOST).cast("int"))
+    dealt = rows.select("token", "n", F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int").alias("block"), "blocks", "node")
+    heads = rows.where("blocks > 1").groupBy("token", "n", "blocks").agg(F.min("node").alias("node"))
+    heads = heads.select("token", "n", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "blocks", "node")
     members = written(dealt.unionByName(heads).distinct())
     known = members.select("node").distinct()
     shapes = written(profiles.select("node", "size", "parity").join(known, "node", "left_semi").dropDuplicates(["node"]))
     discard(met)
+    discard(common)
     return members, shapes
 
 
@@ -290,13 +308,14 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of groups of three and more with labels; nodes outside the largest label of a group
     that has several blocks are guests in all of them."""
     # A group of two has had its only pair compared.
-    wide = members.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("token")
-    rows = members.join(wide, "token", "left_semi").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = members.where("n > 2").drop("n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = rows.withColumn("guest", F.lit(0))
     dealt = rows.where("blocks > 1")
-    main = dealt.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    guests = dealt.join(main, "token").where("label <> main").dropDuplicates(["token", "node"])
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    held = dealt.groupBy("token", "blocks", "label").agg(F.count(F.lit(1)).alias("held"))
+    main = held.groupBy("token", "blocks").agg(F.max_by("label", F.struct("held", "label")).alias("main"))
+    # By block too: a task has the rows of a block, not of a group.
+    guests = dealt.join(main.select("token", every, "main"), ["token", "block"]).where("label <> main").dropDuplicates(["token", "node"])
     return rows.unionByName(guests.select("node", "token", every, "blocks", "label", F.lit(1).alias("guest")))
 
 

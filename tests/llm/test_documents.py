@@ -626,11 +626,12 @@ def near_texts():
     return sorted(set(out + [" ".join(words(30)) for _ in range(40)]))
 
 
-@pytest.mark.parametrize("most", [2048, 6])
-def test_similar_groups_equal_brute_force(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "common"), [(2048, 256), (6, 256), (6, 1 << 30)])
+def test_similar_groups_equal_brute_force(spark, monkeypatch, most, common):
     from tessera.llm import similar
 
     monkeypatch.setattr(similar, "MOST", most)  # 6: most groups are dealt to several blocks
+    monkeypatch.setattr(similar, "COMMON", common)  # 1 << 30: all shingles that repeat are common
     texts = near_texts()
     df = similar.written(spark.createDataFrame([(t,) for t in texts], "text string").select(similar.node_of(F.col("text")).alias("node"), "text"))
     nodes, root = {r.node: r.text for r in df.collect()}, {r.node: r.root for r in similar.groups(df).collect()}
