@@ -228,25 +228,32 @@ def resolved_tags(polygons_: DataFrame, relations: DataFrame, members: DataFrame
     """polygons (rel_id, poly_no, way_ids, …) with the tags that fit best.
 
     The relation's own; else those of the only way; else of the only member with role outer; else
-    what all ways agree on.
+    what all ways agree on. Ways are joined once, for polygons whose relation has no tags of its own.
+    Whole tables of ways and relations are merged: the size of their files says little of that of
+    maps in memory, so none is broadcast by it.
     """
-    own = relations.select(F.col("id").alias("rel_id"), T.without(F.col("tags"), "type").alias("own"))
-    ids = polygons_.select("rel_id", "poly_no", F.posexplode("way_ids").alias("k", "way_id"))
-    wt = ways.select(F.col("id").alias("way_id"), F.map_entries("tags").alias("e"))
-    grouped = ids.join(wt, "way_id").groupBy("rel_id", "poly_no").agg(F.sort_array(F.collect_list(F.struct("k", "e"))).alias("es"))
-    maps = F.transform("es", lambda s: F.map_from_entries(s["e"]))
-    found = members.where("type = 'WAY'").join(ways.select(F.col("id").alias("ref")), "ref", "left_semi")
+    own = relations.select(F.col("id").alias("rel_id"), T.without(F.col("tags"), "type").alias("own")).hint("merge")
+    found = members.where("type = 'WAY'").join(ways.select(F.col("id").alias("ref")).hint("merge"), "ref", "left_semi")
     outer = resolve.unique_outer(resolve.first_members(found)).where("outer_ref IS NOT NULL").select("rel_id", "outer_ref")
-    outer = outer.join(ways.select(F.col("id").alias("outer_ref"), F.col("tags").alias("outer_tags")), "outer_ref").drop("outer_ref")
-    joined = polygons_.join(own, "rel_id", "left").join(grouped, ["rel_id", "poly_no"], "left").join(outer, "rel_id", "left")
+    shapes = polygons_.join(own, "rel_id", "left").join(outer, "rel_id", "left")
+    has_own = F.coalesce(F.size("own") > 0, F.lit(False))
+    # The outer member comes after the ways, at the place that is their number.
+    n_ways, way_ids = F.size("way_ids"), F.col("way_ids")
+    needed = F.when(F.col("outer_ref").isNull() | (n_ways == 1), way_ids).otherwise(F.concat(way_ids, F.array("outer_ref")))
+    ids = shapes.where(~has_own).select("rel_id", "poly_no", F.posexplode(needed).alias("k", "way_id"))
+    wt = ways.select(F.col("id").alias("way_id"), F.map_entries("tags").alias("e")).hint("merge")
+    grouped = ids.join(wt, "way_id").groupBy("rel_id", "poly_no").agg(F.sort_array(F.collect_list(F.struct("k", "e"))).alias("es"))
+    joined = shapes.join(grouped, ["rel_id", "poly_no"], "left")
+    maps = F.transform(F.filter("es", lambda s: s["k"] < n_ways), lambda s: F.map_from_entries(s["e"]))
+    outer_tags = F.map_from_entries(F.try_element_at(F.filter("es", lambda s: s["k"] == n_ways), F.lit(1))["e"])
     empty = F.create_map().cast("map<string,string>")
     tags = (
-        F.when(F.size("own") > 0, F.col("own"))
-        .when(F.size("way_ids") == 1, F.try_element_at(maps, F.lit(1)))
-        .when(F.size("outer_tags") > 0, F.col("outer_tags"))
+        F.when(has_own, F.col("own"))
+        .when(n_ways == 1, F.try_element_at(maps, F.lit(1)))
+        .when(F.size(outer_tags) > 0, outer_tags)
         .otherwise(T.in_all(maps))
     )
-    return joined.withColumn("tags", F.coalesce(tags, empty)).drop("own", "es", "outer_tags")
+    return joined.withColumn("tags", F.coalesce(tags, empty)).drop("own", "outer_ref", "es")
 
 
 def tagged(built: DataFrame, relations: DataFrame, members: DataFrame, ways: DataFrame) -> DataFrame:

@@ -307,7 +307,7 @@ def multipolygon_tags(spark, d):
     members, relations = bridge.members(spark, d), resolve.renderable(bridge.relations(spark, d))
     ids = members.join(relations.select(F.col("id").alias("rel_id")), "rel_id", "left_semi")
     shapes = ids.groupBy("rel_id").agg(F.sort_array(F.collect_set("ref")).alias("way_ids")).withColumn("poly_no", F.lit(0))
-    return exploded(multipolygon.resolved_tags(shapes, relations, members, bridge.way_tags(spark, d)), "rel_id")
+    return exploded(multipolygon.resolved_tags(shapes, relations, ids, bridge.way_tags(spark, d)), "rel_id")
 
 
 @query("exclude_outer_ways", sql("fx_members", "SELECT cast(o_orderkey + 1 AS bigint) AS id FROM orders WHERE o_orderkey + 1 NOT IN (SELECT ref FROM fx_members WHERE role = 'outer')"))

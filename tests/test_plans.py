@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import quadtree, remap, tools
+from tessera.operators import multipolygon, quadtree, remap, tools
 from tessera.plans import pipeline
 from tessera.plans.catalogue import ORACLES, QUERIES
 from tessera.sources import pbf
@@ -34,6 +34,50 @@ def test_query(spark, db, sf_dir, name):
     assert got == sorted((tuple(r[i] for i in place) for r in rel.fetchall()), key=repr)
 
 
+def broadcast_types(df) -> list[str]:
+    """Types of what the plan broadcasts before anything is measured."""
+    found, todo = [], [df._jdf.queryExecution().sparkPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "BroadcastHashJoin":
+            found.append(node.buildPlan().schema().simpleString())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_tags_are_not_broadcast_by_the_size_of_files(spark, sf_dir):
+    """Maps of tags take far more space than the files that they are made from."""
+    types = broadcast_types(QUERIES["multipolygon_tags"](spark, sf_dir))
+    assert [t for t in types if "map<" in t or "array<" in t] == []
+    assert "struct<ref:bigint>" not in types
+
+
+def test_tags_of_a_multipolygon_by_their_order(spark):
+    a, b, c, d = ({"k": "a", "x": "1"}, {"k": "b", "x": "1"}, {"k": "c", "x": "1"}, {})
+    ways = spark.createDataFrame([(1, a), (2, b), (3, c), (4, d)], "id long, tags map<string,string>")
+    cases = {  # relation: own tags, ways of its polygon, members, what comes of them
+        10: ({"type": "multipolygon", "own": "1"}, [1, 2], [(1, "outer"), (2, "inner")], {"own": "1"}),
+        11: ({"type": "multipolygon"}, [2], [(1, "outer"), (2, "inner")], b),
+        12: ({"type": "multipolygon"}, [1, 2], [(1, "inner"), (2, "outer")], b),
+        13: ({"type": "multipolygon"}, [1, 2], [(3, "outer"), (1, "inner"), (2, "inner")], c),  # none of the polygon's
+        14: ({"type": "multipolygon"}, [1, 2], [(1, "outer"), (2, "outer")], {"x": "1"}),
+        15: ({"type": "multipolygon"}, [1, 2], [(1, "inner"), (2, "inner"), (4, "outer")], {"x": "1"}),  # the outer one has none
+        16: ({"type": "multipolygon"}, [1, 2], [(2, "outer"), (9, "outer"), (1, "inner")], b),  # 9 is missing
+        17: ({"type": "multipolygon"}, [1, 4], [(1, "outer"), (4, "outer")], {}),
+        18: ({"type": "multipolygon"}, [9], [(9, "outer")], {}),
+        19: ({"type": "multipolygon"}, [1, 2], [(1, "inner"), (2, "outer"), (1, "outer")], b),  # the first of repeated ones counts
+        20: ({"type": "multipolygon"}, [], [(3, "outer")], c),
+        21: (None, [1, 2], [(1, "outer"), (2, "outer")], {"x": "1"}),  # no such relation
+    }
+    shapes = spark.createDataFrame([(r, 0, w, "kept") for r, (_, w, _, _) in cases.items()], "rel_id long, poly_no int, way_ids array<long>, more string")
+    relations = spark.createDataFrame([(r, t) for r, (t, *_) in cases.items() if t], "id long, tags map<string,string>")
+    members = spark.createDataFrame([(r, k, "WAY", ref, role) for r, (_, _, m, _) in cases.items() for k, (ref, role) in enumerate(m)], "rel_id long, pos int, type string, ref long, role string")
+    out = multipolygon.resolved_tags(shapes, relations, members, ways)
+    assert out.columns == ["rel_id", "poly_no", "way_ids", "more", "tags"]
+    assert {r.rel_id: r.tags for r in out.collect()} == {r: want for r, (*_, want) in cases.items()}
+
+
 def world() -> bytes:
     """A square of two ways with a hole, a road, a boundary, a place, and ways that lack nodes."""
     w = pbf.PbfWriter()
