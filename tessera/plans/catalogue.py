@@ -269,7 +269,7 @@ def relation_aabb_diagonal(spark, d):
 def line_distance(spark, d):
     w = projected(spark, d).where(F.size("points") > 2)
     a, p, b = F.get("points", F.lit(0)), F.get("points", F.lit(1)), F.element_at("points", -1)
-    return w.select(F.col("id").alias("way_id"), F.round(geo.line_distance_squared(p["x"], p["y"], a["x"], a["y"], b["x"], b["y"]) / 1e6).cast("bigint").alias("d2"))
+    return w.select(F.col("id").alias("way_id"), F.round(geo.line_distance_squared(p["x"], p["y"], a["x"], a["y"], b["x"], b["y"], geo.square) / 1e6).cast("bigint").alias("d2"))
 
 
 # Tags of boundaries and multipolygons

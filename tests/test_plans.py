@@ -34,6 +34,20 @@ def test_query(spark, db, sf_dir, name):
     assert got == sorted((tuple(r[i] for i in place) for r in rel.fetchall()), key=repr)
 
 
+def test_line_distance_squares_as_sql_does(spark, tmp_path):
+    """Ways whose distance lies near a half: of c * c and the C library's power one rounds down, one up."""
+    ways = {386611: [54439, 56209], 967827: [139883, 130906], 1264579: [176832, 172530, 175130], 2151225: [285140, 287291, 298214], 2259600: [303375, 305561, 301045, 310631, 306407], 2271606: [303658, 316863, 302636, 307716, 301161, 319793, 319757]}
+    con = duckdb.connect()
+    lines = ", ".join(f"({way}::bigint, {part}::bigint, {k})" for way, parts in ways.items() for k, part in enumerate(parts))
+    con.execute(f"CREATE TABLE lineitem AS SELECT * FROM (VALUES {lines}) t(l_orderkey, l_partkey, l_linenumber)")
+    con.execute("CREATE TABLE orders AS SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem")
+    con.execute("CREATE TABLE part AS SELECT DISTINCT l_partkey AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 1 AS p_size FROM lineitem")
+    for t in ("lineitem", "orders", "part"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    got = {r.way_id: r.d2 for r in QUERIES["line_distance"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(ways) and got == dict(con.execute(ORACLES["line_distance"]).fetchall())
+
+
 def broadcast_types(df) -> list[str]:
     """Types of what the plan broadcasts before anything is measured."""
     found, todo = [], [df._jdf.queryExecution().sparkPlan()]
